@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,9 +28,9 @@ DISTANCE_DEFAULT = "very_long"
 BUSINESS_HOURS = (8, 18)
 
 
-def _ladder(steps: list[tuple[Column, str]], default: str | None) -> Column:
-    """Label of the first condition that holds, else ``default``."""
-    return F.coalesce(*[F.when(condition, F.lit(label)) for condition, label in steps], F.lit(default))
+def _pick(labels: Sequence[str | None], index: Column) -> Column:
+    """Label at a position (from 0); NULL outside the list.  A constant array keeps the code small."""
+    return F.get(F.array(*[F.lit(label) for label in labels]), index)
 
 
 def duration_minutes(start: ColumnLike, end: ColumnLike) -> Column:
@@ -46,8 +48,7 @@ def day_of_week(date: ColumnLike, sunday: int = 1) -> Column:
 
 def day_name(dow: ColumnLike, sunday: int = 1) -> Column:
     """English weekday name; NULL for a number outside the week."""
-    number = as_column(dow)
-    return _ladder([(number == sunday + i, name) for i, name in enumerate(DAY_NAMES)], None)
+    return _pick(DAY_NAMES, as_column(dow) - sunday)
 
 
 def is_weekend(dow: ColumnLike, sunday: int = 1) -> Column:
@@ -55,16 +56,15 @@ def is_weekend(dow: ColumnLike, sunday: int = 1) -> Column:
 
 
 def time_of_day(hour: ColumnLike) -> Column:
-    value = as_column(hour)
-    return _ladder(
-        [(value.between(first, last), label) for first, last, label in TIME_OF_DAY_RANGES],
-        TIME_OF_DAY_DEFAULT,
-    )
+    by_hour = [TIME_OF_DAY_DEFAULT] * 24
+    for first, last, label in TIME_OF_DAY_RANGES:
+        by_hour[first : last + 1] = [label] * (last + 1 - first)
+    return F.coalesce(_pick(by_hour, as_column(hour)), F.lit(TIME_OF_DAY_DEFAULT))
 
 
 def payment_label(code: ColumnLike) -> Column:
-    value = as_column(code)
-    return _ladder([(value == number, label) for number, label in PAYMENT_LABELS.items()], PAYMENT_DEFAULT)
+    by_code = [PAYMENT_LABELS.get(number) for number in range(max(PAYMENT_LABELS) + 1)]
+    return F.coalesce(_pick(by_code, as_column(code)), F.lit(PAYMENT_DEFAULT))
 
 
 def was_tipped(tip: ColumnLike) -> Column:
@@ -86,7 +86,10 @@ def is_airport_trip(pickup_zone: ColumnLike, dropoff_zone: ColumnLike) -> Column
 def distance_class(distance: ColumnLike) -> Column:
     """Size class of a distance in miles; NULL counts as the largest class."""
     value = as_column(distance)
-    return _ladder([(value < limit, label) for limit, label in DISTANCE_CLASSES], DISTANCE_DEFAULT)
+    return F.coalesce(
+        *[F.when(value < limit, F.lit(label)) for limit, label in DISTANCE_CLASSES],
+        F.lit(DISTANCE_DEFAULT),
+    )
 
 
 def business_hours(hour: ColumnLike) -> Column:

@@ -15,11 +15,12 @@ def as_column(value: ColumnLike) -> Column:
 def round_half_up(value: ColumnLike, digits: int) -> Column:
     """Round a double half-up at ``digits`` decimals.
 
-    Going through a decimal with ten decimals first drops binary noise, so that
-    1.005 rounds to 1.01 whatever order a sum was added up in.  Values a
-    decimal cannot hold (NaN, infinity, 1e28) give NULL instead of an error.
+    Rounding at ten decimals first drops binary noise, so that a sum of
+    1.00499999999999989 rounds to 1.01 whatever order it was added up in.
+    (A detour through ``decimal`` gives the same digits but several times the
+    generated code, which can push a stage over the JIT's method size limit.)
     """
-    return F.round(as_column(value).try_cast("decimal(38,10)"), digits).cast("double")
+    return F.round(F.round(as_column(value).cast("double"), 10), digits)
 
 
 def positive_ratio(numerator: ColumnLike, denominator: ColumnLike, default: float | None = None) -> Column:

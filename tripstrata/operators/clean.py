@@ -11,6 +11,7 @@ from ..functions import duration_minutes, round_half_up
 from ..profiles import Profile, get_profile
 
 REJECT_REASON = "reject_reason"
+DROPOFF_ORDER = "dropoff_order"
 
 
 def with_time_columns(trips: DataFrame) -> DataFrame:
@@ -34,10 +35,10 @@ def acceptance_rules(profile: str | Profile) -> list[tuple[str, Column]]:
     rules = get_profile(profile)
     pairs = [(gate.reason, gate.accepts()) for gate in rules.gates]
     if rules.ordered_times:
-        pairs.append(("dropoff_order", F.col("dropoff_datetime") > F.col("pickup_datetime")))
+        pairs.append((DROPOFF_ORDER, F.col("dropoff_datetime") > F.col("pickup_datetime")))
     if rules.max_speed is not None:
-        speed = F.col("trip_distance") / (F.nullif(F.col("trip_duration_minutes"), F.lit(0.0)) / 60.0)
-        pairs.append(("speed", speed <= rules.max_speed))
+        hours = F.col("trip_duration_minutes") / 60.0
+        pairs.append(("speed", F.try_divide("trip_distance", hours) <= rules.max_speed))
     return pairs
 
 
@@ -45,10 +46,21 @@ def clean(trips: DataFrame, profile: str | Profile) -> DataFrame:
     """Trips that pass every rule of the profile.
 
     The rules form one conjunction, so those on stored columns reach the
-    Parquet scan as pushed filters.
+    Parquet scan as pushed filters.  Rules implied by others are left out,
+    because each rule repeats the expressions its columns are derived from:
+    a comparison with NULL already turns a row away, and where the duration is
+    computed here, its lower bound covers the presence and order of both times.
     """
-    accepted = reduce(lambda a, b: a & b, (rule for _, rule in acceptance_rules(profile)))
-    return _timed(trips).filter(accepted)
+    rules = get_profile(profile)
+    compared = {gate.column for gate in rules.gates if gate.compares()}
+    own_duration = "trip_duration_minutes" not in trips.columns
+    if own_duration or rules.ordered_times:
+        compared |= {"pickup_datetime", "dropoff_datetime"}
+    implied = {gate.reason for gate in rules.gates if not gate.compares() and gate.column in compared}
+    if own_duration:
+        implied.add(DROPOFF_ORDER)
+    needed = [accepts for reason, accepts in acceptance_rules(rules) if reason not in implied]
+    return _timed(trips).filter(reduce(lambda a, b: a & b, needed))
 
 
 def with_reject_reason(trips: DataFrame, profile: str | Profile) -> DataFrame:

@@ -88,9 +88,8 @@ def _fill_defaults(trips: DataFrame, profile: Profile) -> DataFrame:
 def build_silver(trips: DataFrame, profile: str | Profile) -> DataFrame:
     """Raw trips (or, for ``dbt``, the typed view) -> the profile's silver table."""
     rules = get_profile(profile)
-    if rules.name == "dbt":
-        view = trips if "tpep_pickup_datetime" in trips.columns else raw_trips(trips)
-        trips = view.withColumnsRenamed(_TRIP_NAMES)
+    if "tpep_pickup_datetime" in trips.columns:
+        trips = trips.withColumnsRenamed(_TRIP_NAMES)
     accepted = _fill_defaults(clean(trips, rules), rules)
     if rules.name == "spark":
         featured = accepted

@@ -23,6 +23,10 @@ class Gate:
     low_open: bool = False
     high_open: bool = False
 
+    def compares(self) -> bool:
+        """False for a rule that only asks for a value to be present."""
+        return self.low is not None or self.high is not None
+
     def accepts(self) -> Column:
         """True when the value passes; NULL values do not pass."""
         value = F.col(self.column)

@@ -18,6 +18,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
+    # the JVM does not compile larger methods: run such stages operator by operator instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -16,7 +16,7 @@ from ..schemas import TRIP_SCHEMA
 _TRIPS = """
   cast({vendor} % 2 + 1 as int)                                  as vendor_id,
   {pickup}                                                       as pickup_datetime,
-  {pickup} + make_dt_interval(0, 0, {minutes}, 0)                as dropoff_datetime,
+  {pickup} + ({minutes}) * interval '1' minute                   as dropoff_datetime,
   cast(if({id} % 101 = 0, null, {id} % 11) as int)               as passenger_count,
   cast({distance} as double)                                     as trip_distance,
   cast({id} % 6 + 1 as int)                                      as rate_code_id,
@@ -55,9 +55,9 @@ def trips_from_events(spark: SparkSession, sf_dir: str, carry: tuple[str, ...] =
         fare="cast(round(value * 100) as bigint)",
         id="event_id",
         vendor="user_id",
-        # the second of the event, without a detour through a session time zone
-        pickup="(ts - make_dt_interval(0, 0, 0, extract(SECOND FROM ts) % 1))",
-        minutes="cast((event_id * 7) % 260 - 4 as int)",
+        # the event's second: whole seconds since 1970, free of any session time zone
+        pickup="(timestamp_ntz'1970-01-01 00:00:00' + unix_timestamp(ts) * interval '1' second)",
+        minutes="(event_id * 7) % 260 - 4",
         distance=(
             "case when event_id % 103 = 0 then null when event_id % 97 = 0 then 150.0d "
             "else ((event_id * 13) % 3000) / 100.0d end"
@@ -76,10 +76,9 @@ def trips_from_lineitem(spark: SparkSession, sf_dir: str, carry: tuple[str, ...]
         id="l_partkey",
         vendor="l_partkey",
         pickup=(
-            "(l_shipdate + make_dt_interval(0, cast(l_partkey % 24 as int), "
-            "cast(l_suppkey % 60 as int), l_linenumber))"
+            "(l_shipdate + (l_partkey % 24 * 3600 + l_suppkey % 60 * 60 + l_linenumber) * interval '1' second)"
         ),
-        minutes="cast(l_orderkey % 240 + 1 as int)",
+        minutes="l_orderkey % 240 + 1",
         distance="l_quantity / 2",
         pickup_zone="l_suppkey % 265 + 1",
     )
@@ -110,7 +109,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id div 14 as trip_key",
         *LOG_PAYLOAD,
         "(event_id * 7) % 10 + 1 as _version",
-        "timestamp_ntz'2024-02-01 00:00:00' + make_dt_interval(cast((event_id * 7) % 10 + 1 as int)) as _committed_at",
+        "timestamp_ntz'2024-02-01 00:00:00' + ((event_id * 7) % 10 + 1) * interval '1' day as _committed_at",
         "if(event_id % 37 = 0, 'D', 'U') as _op",
     )
 

@@ -21,7 +21,7 @@ _VIEW_TYPES = {
     "trip_duration_minutes": "double",
 }
 _VIEW_NAMES = {"pickup_datetime": "tpep_pickup_datetime", "dropoff_datetime": "tpep_dropoff_datetime"}
-_TRIP_NAMES = {view: trip for trip, view in _VIEW_NAMES.items()}
+VIEW_TO_TRIP_NAMES = {view: trip for trip, view in _VIEW_NAMES.items()}
 
 
 def raw_trips(trips: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def build_silver(trips: DataFrame, profile: str | Profile) -> DataFrame:
     """Raw trips (or, for ``dbt``, the typed view) -> the profile's silver table."""
     rules = get_profile(profile)
     if "tpep_pickup_datetime" in trips.columns:
-        trips = trips.withColumnsRenamed(_TRIP_NAMES)
+        trips = trips.withColumnsRenamed(VIEW_TO_TRIP_NAMES)
     accepted = _fill_defaults(clean(trips, rules), rules)
     if rules.name == "spark":
         featured = accepted

@@ -23,6 +23,7 @@ from ..operators.silver import build_silver, raw_trips
 from ..schemas import INGEST_KEYS, MERGE_KEYS
 from ..sources import adapters as A
 from ..sources import layout as L
+from ..streaming.landing import newest_per_key
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -241,17 +242,10 @@ def top_pickup_zones(spark, sf_dir):
 # ---- incremental ---------------------------------------------------------------------
 
 
-def _deduped(updates: DataFrame) -> DataFrame:
-    """One update per merge key, the one that ended last; ties by the remaining columns."""
-    rest = [name for name in updates.columns if name not in (*MERGE_KEYS, "tpep_dropoff_datetime")]
-    order = ["tpep_dropoff_datetime", *rest]
-    return U.dedupe_latest(updates, MERGE_KEYS, [F.desc(name) for name in order])
-
-
 @query
 def merge_upsert(spark, sf_dir):
     target, updates = A.merge_inputs(_silver(spark, sf_dir, "dbt"))
-    return U.merge_upsert(target, _deduped(updates), MERGE_KEYS)
+    return U.merge_upsert(target, newest_per_key(updates), MERGE_KEYS)
 
 
 @query
@@ -273,7 +267,7 @@ def incremental_run(spark, sf_dir):
     silver = build_silver(view, "dbt")
     loaded = silver.filter(F.col("pickup_date") <= A.silver_cutoff(silver))
     updates = build_silver(U.incremental_filter(view, loaded), "dbt")
-    return U.merge_upsert(loaded, _deduped(updates), MERGE_KEYS)
+    return U.merge_upsert(loaded, newest_per_key(updates), MERGE_KEYS)
 
 
 # ---- versions ------------------------------------------------------------------------

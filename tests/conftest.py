@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "10000",  # plans are checked as text
             "spark.sql.warehouse.dir": str(home / "warehouse"),
             "spark.checkpoint.dir": str(home / "shared"),
         },

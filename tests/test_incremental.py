@@ -5,11 +5,10 @@ from pyspark.sql import functions as F
 
 from tripstrata.operators import stored as ST
 from tripstrata.operators import upsert as U
-from tripstrata.operators.silver import build_silver
+from tripstrata.operators.silver import build_silver, newest_per_key
 from tripstrata.schemas import MERGE_KEYS
 from tripstrata.sources import files
 from tripstrata.sources.adapters import trips_from_events
-from tripstrata.streaming.landing import newest_per_key
 
 KEYS = ["k"]
 
@@ -43,6 +42,8 @@ def test_ambiguous_updates_fail(spark):
         U.merge_upsert(table(spark, ("a", 1)), updates, KEYS).collect()
     deduped = U.dedupe_latest(updates, KEYS, [F.desc("v")])
     assert content(U.merge_upsert(table(spark, ("a", 1)), deduped, KEYS)) == [("a", 1), ("b", 2)]
+    merged = U.merge_upsert(table(spark, ("a", 1), ("b", 7)), updates, KEYS, latest=[F.desc("v")])
+    assert content(merged) == [("a", 1), ("b", 2)]
 
 
 def test_dedupe_against_brute_force(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripstrata.operators import gold as G
 from tripstrata.operators.quality import DataQualityError
-from tripstrata.operators.silver import build_silver
+from tripstrata.operators.silver import build_silver, newest_per_key
 from tripstrata.plans.audit import read_runs
 from tripstrata.plans.medallion import run_medallion
 from tripstrata.session import shared_folder
@@ -15,7 +15,7 @@ from tripstrata.sources import readers as R
 from tripstrata.sources import synthetic as S
 from tripstrata.sources import writers as W
 from tripstrata.sources.adapters import trips_from_events
-from tripstrata.streaming.landing import ingest_landing, newest_per_key, stream_to_silver
+from tripstrata.streaming.landing import ingest_landing, stream_to_silver
 
 
 def same(left, right):

@@ -63,13 +63,19 @@ def clean(trips: DataFrame, profile: str | Profile) -> DataFrame:
     return _timed(trips).filter(reduce(lambda a, b: a & b, needed))
 
 
+def reject_reason(profile: str | Profile) -> Column:
+    """First rule a timed trip fails; NULL when it passes all."""
+    return F.coalesce(
+        *[
+            F.when(~F.coalesce(accepts, F.lit(False)), F.lit(reason))
+            for reason, accepts in acceptance_rules(profile)
+        ]
+    )
+
+
 def with_reject_reason(trips: DataFrame, profile: str | Profile) -> DataFrame:
-    """Add the first rule a trip fails as ``reject_reason``; NULL when it passes all."""
-    failed = [
-        F.when(~F.coalesce(accepts, F.lit(False)), F.lit(reason))
-        for reason, accepts in acceptance_rules(profile)
-    ]
-    return _timed(trips).withColumn(REJECT_REASON, F.coalesce(*failed))
+    """Add :func:`reject_reason` as a column."""
+    return _timed(trips).withColumn(REJECT_REASON, reject_reason(profile))
 
 
 def split_rejects(trips: DataFrame, profile: str | Profile) -> tuple[DataFrame, DataFrame]:
@@ -79,23 +85,29 @@ def split_rejects(trips: DataFrame, profile: str | Profile) -> tuple[DataFrame,
     return accepted, tagged.filter(F.col(REJECT_REASON).isNotNull())
 
 
-def reject_summary(trips: DataFrame, profile: str | Profile) -> DataFrame:
-    """Rows and share of all rows per first failing rule (``accepted`` included).
+def reject_summary(trips: DataFrame, *profiles: str) -> DataFrame:
+    """Rows and share of all rows per profile and first failing rule (``accepted`` included).
 
-    One aggregation over the trips; the share is computed on its result, which
-    has one row per rule.
+    One pass over the trips for any number of profiles.  The shares are
+    computed on the counts: per profile one short list, an entry per rule.
     """
+    verdicts = F.array(
+        *[
+            F.struct(
+                F.lit(profile).alias("profile"),
+                F.coalesce(reject_reason(profile), F.lit("accepted")).alias(REJECT_REASON),
+            )
+            for profile in profiles
+        ]
+    )
     counts = (
-        with_reject_reason(trips, profile)
-        .groupBy(F.coalesce(F.col(REJECT_REASON), F.lit("accepted")).alias(REJECT_REASON))
-        .agg(F.count(F.lit(1)).alias("rows"))
+        _timed(trips).select(F.inline(verdicts)).groupBy("profile", REJECT_REASON).agg(F.count(F.lit(1)).alias("rows"))
     )
-    # collapses the rule table to one row holding an array of at most one entry per rule
     return (
-        counts.agg(
-            F.sum("rows").alias("total"),
-            F.collect_list(F.struct(REJECT_REASON, "rows")).alias("parts"),
+        counts.groupBy("profile")
+        .agg(F.sum("rows").alias("total"), F.collect_list(F.struct(REJECT_REASON, "rows")).alias("parts"))
+        .select("profile", "total", F.inline("parts"))
+        .select(
+            "profile", REJECT_REASON, "rows", round_half_up(F.col("rows") * 100.0 / F.col("total"), 1).alias("rate_pct")
         )
-        .select("total", F.inline("parts"))
-        .select(REJECT_REASON, "rows", round_half_up(F.col("rows") * 100.0 / F.col("total"), 1).alias("rate_pct"))
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as X
 from ..profiles import Profile, get_profile
-from ..schemas import RAW_VIEW_COLUMNS, SILVER_COLUMNS
+from ..schemas import MERGE_KEYS, RAW_VIEW_COLUMNS, SILVER_COLUMNS
 from .clean import clean, with_time_columns
+from .upsert import dedupe_latest
 
 _VIEW_TYPES = {
     "tpep_pickup_datetime": "timestamp_ntz",
@@ -33,6 +34,18 @@ def raw_trips(trips: DataFrame) -> DataFrame:
     )
 
 
+def newest_first(silver: DataFrame) -> list[Column]:
+    """Order that decides between trips with one merge key: the last to end first, then all other columns."""
+    end = "tpep_dropoff_datetime"
+    others = [name for name in silver.columns if name not in (*MERGE_KEYS, end)]
+    return [F.desc(name) for name in (end, *others)]
+
+
+def newest_per_key(silver: DataFrame) -> DataFrame:
+    """One row per merge key."""
+    return dedupe_latest(silver, MERGE_KEYS, newest_first(silver))
+
+
 def register_raw_view(trips: DataFrame, name: str = "raw_trips") -> DataFrame:
     """Register :func:`raw_trips` as a temporary view for SQL users."""
     view = raw_trips(trips)

@@ -30,7 +30,7 @@ def finish_merge(spark: SparkSession, path: str, partition: str = "pickup_date")
     stage = _stage(path)
     pending = files.is_complete(spark, stage)
     if pending:
-        overwrite_partitions(spark.read.parquet(stage), path, [partition])
+        overwrite_partitions(spark.read.parquet(stage), path, [partition], rebalance=False)
     if files.exists(spark, stage):
         files.delete(spark, stage)
     return pending
@@ -62,7 +62,7 @@ def merge_into_path(
         if not touched:
             return
         target = spark.read.parquet(path).filter(F.col(partition).isin(touched))
-        merged = merge_upsert(target, updates, keys, check)
+        merged = merge_upsert(target, updates, keys, check=check)
         write_parquet(merged, _stage(path), partition_by=[partition])
     finally:
         updates.unpersist()
@@ -122,9 +122,7 @@ def compact(
     staged = spark.read.parquet(_stage(path))
     if staged.count() != sum(row["rows"] for row in crowded):
         raise RuntimeError(f"compaction of {path} lost rows; table left as it was")
-    # publish file by file as staged: no second shuffle that could split them again
-    staged_files = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    staged_files.option("compression", "zstd").partitionBy(partition).parquet(path)
+    overwrite_partitions(staged, path, [partition], rebalance=False)
     files.delete(spark, _stage(path))
     after = stored_manifest(spark.read.parquet(path), partition)
     pairs = before.alias("b").join(after.alias("a"), partition)

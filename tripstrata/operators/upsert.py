@@ -66,16 +66,32 @@ def incremental_filter(
     return source.filter(F.col(column) >= newest.scalar())
 
 
-def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], check: bool = True) -> DataFrame:
+def merge_upsert(
+    target: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    latest: Sequence[Column] | None = None,
+    check: bool = True,
+) -> DataFrame:
     """Replace target rows whose key occurs in ``updates``; add all updates.
 
     A NULL in the key never matches, so such rows are added every time.  Two
-    updates with one key are ambiguous: with ``check`` the query fails when it
-    runs (dedupe first).  The check shuffles only counted keys.
+    updates with one key are ambiguous.  With ``latest`` the first in that
+    order wins; without it the query fails when it runs (``check=False`` skips
+    that test for updates known to be unique).
+
+    The target meets only the distinct keys of the updates, so a key repeated in
+    the updates is one row there; a hot key in the target is on the side of the
+    anti-join that AQE can split.  AQE broadcasts the keys when their measured
+    size allows.
     """
-    if check:
+    keys = list(keys)
+    kept = target.join(updates.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
+    if latest is not None:
+        updates = dedupe_latest(updates, keys, latest)
+    elif check:
         repeated = (
-            updates.na.drop(subset=list(keys))
+            updates.na.drop(subset=keys)
             .groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("n"))
             .filter("n > 1")
@@ -84,5 +100,4 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], che
         )
         message = F.lit(f"merge_upsert: several updates for one key ({', '.join(keys)}); dedupe first")
         updates = updates.filter(F.when(repeated > 0, F.raise_error(message)).otherwise(F.lit(True)))
-    kept = target.join(updates.select(*keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(updates.select(*target.columns))

@@ -62,8 +62,9 @@ def rollback_to_version(
     """
     keys = list(keys)
     payload = [name for name in log.columns if name not in (*META, *keys)]
-    later = latest_changes(log.filter(F.col(VERSION) > version), keys, tiebreak)
-    earlier = log.filter(F.col(VERSION) <= version).join(later.select(*keys), keys, "left_semi")
+    since = log.filter(F.col(VERSION) > version)
+    later = latest_changes(since, keys, tiebreak)
+    earlier = log.filter(F.col(VERSION) <= version).join(since.select(*keys).distinct(), keys, "left_semi")
     before = current_rows(earlier, keys, tiebreak).select(
         *keys, F.struct(*payload).alias("_before"), F.lit(True).alias("_existed")
     )
@@ -72,10 +73,7 @@ def rollback_to_version(
 
     existed = F.coalesce("_existed", F.lit(False))
     same = F.col("_lives") & F.col("_before").eqNullSafe(F.col("_after"))
-    change = (
-        F.when(existed & ~same, F.lit(UPSERT))
-        .when(~existed & F.col("_lives"), F.lit(DELETE))
-    )
+    change = F.when(existed & ~same, F.lit(UPSERT)).when(~existed & F.col("_lives"), F.lit(DELETE))
     newest = log.agg(F.max(VERSION) + 1).scalar()
     restored = pair.withColumn(OP, change).filter(F.col(OP).isNotNull())
     row = F.when(F.col(OP) == UPSERT, F.col("_before")).otherwise(F.col("_after"))
@@ -88,6 +86,21 @@ def rollback_to_version(
     ).select(*log.columns)
 
 
+def _commits(log: DataFrame) -> DataFrame:
+    """One row per version with its first and last change time.
+
+    Everything expiry needs to know about versions comes from this small
+    aggregate, which Spark computes once and shares between the subqueries.
+    """
+    return log.groupBy(VERSION).agg(F.min(COMMITTED_AT).alias("_first"), F.max(COMMITTED_AT).alias("_last"))
+
+
+def _horizon(commits: DataFrame, older_than, retain_last: int) -> DataFrame:
+    recent = commits.filter(F.col("_first") >= F.lit(older_than).cast("timestamp_ntz")).select(VERSION)
+    newest = commits.select(VERSION).orderBy(F.desc(VERSION)).limit(retain_last)
+    return recent.unionByName(newest).agg(F.min(VERSION).alias("horizon"))
+
+
 def retention_horizon(log: DataFrame, older_than, retain_last: int = 3) -> DataFrame:
     """One row ``horizon``: the oldest version to keep.
 
@@ -95,10 +108,7 @@ def retention_horizon(log: DataFrame, older_than, retain_last: int = 3) -> DataF
     the ``retain_last`` newest; the horizon is the smallest version that stays,
     so what goes is always a prefix of the history.
     """
-    history = log.groupBy(VERSION).agg(F.min(COMMITTED_AT).alias(COMMITTED_AT))
-    recent = history.filter(F.col(COMMITTED_AT) >= F.lit(older_than).cast("timestamp_ntz")).select(VERSION)
-    newest = history.select(VERSION).orderBy(F.desc(VERSION)).limit(retain_last)
-    return recent.unionByName(newest).agg(F.min(VERSION).alias("horizon"))
+    return _horizon(_commits(log), older_than, retain_last)
 
 
 def expire_versions(
@@ -110,20 +120,20 @@ def expire_versions(
     the newest expired version, so reads as of any kept version (or of the base)
     give the same rows as before.
     """
-    horizon = retention_horizon(log, older_than, retain_last).scalar()
-    kept = log.filter(F.col(VERSION) >= horizon)
-    gone = log.filter(F.col(VERSION) < horizon)
-    newest_gone = gone.agg(F.max(VERSION)).scalar()
-    gone_at = gone.agg(F.max(COMMITTED_AT)).scalar()
-    base = current_rows(gone, keys, tiebreak).withColumns(
-        {VERSION: newest_gone, COMMITTED_AT: gone_at, OP: F.lit(UPSERT)}
+    commits = _commits(log)
+    horizon = _horizon(commits, older_than, retain_last).scalar()
+    expired = commits.filter(F.col(VERSION) < horizon)
+    base = current_rows(log.filter(F.col(VERSION) < horizon), keys, tiebreak).withColumns(
+        {
+            VERSION: expired.agg(F.max(VERSION)).scalar(),
+            COMMITTED_AT: expired.agg(F.max("_last")).scalar(),
+            OP: F.lit(UPSERT),
+        }
     )
-    return base.select(*log.columns).unionByName(kept)
+    return base.select(*log.columns).unionByName(log.filter(F.col(VERSION) >= horizon))
 
 
-def append_changes(
-    rows: DataFrame, version: int, committed_at, op: str = UPSERT
-) -> DataFrame:
+def append_changes(rows: DataFrame, version: int, committed_at, op: str = UPSERT) -> DataFrame:
     """Turn plain rows into changes of one version, ready to append to a log."""
     return rows.withColumns(
         {

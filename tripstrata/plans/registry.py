@@ -19,11 +19,10 @@ from ..operators import quality as Q
 from ..operators import ranking as R
 from ..operators import upsert as U
 from ..operators import versions as V
-from ..operators.silver import build_silver, raw_trips
+from ..operators.silver import build_silver, newest_first, raw_trips
 from ..schemas import INGEST_KEYS, MERGE_KEYS
 from ..sources import adapters as A
 from ..sources import layout as L
-from ..streaming.landing import newest_per_key
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,11 +115,7 @@ for _profile in ("dbt", "strict", "demo", "spark", "sim"):
 @query
 def reject_summary(spark, sf_dir):
     trips = A.trips_from_events(spark, sf_dir)
-    summaries = [
-        C.reject_summary(trips, profile).select(F.lit(profile).alias("profile"), "*")
-        for profile in ("dbt", "strict", "demo", "spark", "sim")
-    ]
-    return V.read_together(*summaries)
+    return C.reject_summary(trips, "dbt", "strict", "demo", "spark", "sim")
 
 
 # ---- scalar helpers ------------------------------------------------------------------
@@ -245,7 +240,7 @@ def top_pickup_zones(spark, sf_dir):
 @query
 def merge_upsert(spark, sf_dir):
     target, updates = A.merge_inputs(_silver(spark, sf_dir, "dbt"))
-    return U.merge_upsert(target, newest_per_key(updates), MERGE_KEYS)
+    return U.merge_upsert(target, updates, MERGE_KEYS, newest_first(updates))
 
 
 @query
@@ -267,7 +262,7 @@ def incremental_run(spark, sf_dir):
     silver = build_silver(view, "dbt")
     loaded = silver.filter(F.col("pickup_date") <= A.silver_cutoff(silver))
     updates = build_silver(U.incremental_filter(view, loaded), "dbt")
-    return U.merge_upsert(loaded, newest_per_key(updates), MERGE_KEYS)
+    return U.merge_upsert(loaded, updates, MERGE_KEYS, newest_first(updates))
 
 
 # ---- versions ------------------------------------------------------------------------

@@ -49,9 +49,12 @@ def write_parquet(
     _writer(selected, partition_by, mode, sort_by, rebalance).option("compression", COMPRESSION).parquet(path)
 
 
-def overwrite_partitions(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace exactly the table partitions that occur in ``rows``."""
-    writer = _writer(rows, partition_by, "overwrite", (), True)
+def overwrite_partitions(rows: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True) -> None:
+    """Replace exactly the table partitions that occur in ``rows``.
+
+    Without ``rebalance`` rows are written as they are laid out, with no shuffle.
+    """
+    writer = _writer(rows, partition_by, "overwrite", (), rebalance)
     writer.option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION).parquet(path)
 
 

@@ -9,13 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.silver import build_silver
+from ..operators.silver import build_silver, newest_per_key
 from ..operators.stored import merge_into_path
-from ..operators.upsert import dedupe_latest
 from ..schemas import MERGE_KEYS, RAW_SCHEMA
 from ..session import shared_folder
 from ..sources.readers import lenient_trips
@@ -55,13 +53,6 @@ def ingest_landing(
     )
 
 
-def newest_per_key(silver: DataFrame) -> DataFrame:
-    """One row per merge key, the trip that ended last; ties by all other columns."""
-    first = "tpep_dropoff_datetime"
-    order = [first, *[name for name in silver.columns if name not in (*MERGE_KEYS, first)]]
-    return dedupe_latest(silver, MERGE_KEYS, [F.desc(name) for name in order])
-
-
 def upsert_batch(silver_path: str) -> Callable[[DataFrame, int], None]:
     """Handler that cleans a micro-batch and merges it into the silver table.
 

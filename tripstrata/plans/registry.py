@@ -37,7 +37,8 @@ LOG_ORDER = ("event_id",)
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register a query under the function's name (a leading ``q_`` is dropped)."""
+    QUERIES[function.__name__.removeprefix("q_")] = function
     return function
 
 
@@ -58,13 +59,10 @@ def _log_tiebreak() -> list:
 
 
 @query
-def raw_trips_view(spark, sf_dir):
+def q_raw_trips(spark, sf_dir):
     return raw_trips(A.trips_from_events(spark, sf_dir))
 
 
-QUERIES["raw_trips"] = QUERIES.pop("raw_trips_view")
-
-
 @query
 def partition_granularity(spark, sf_dir):
     return L.partition_counts(A.trips_from_events(spark, sf_dir), "pickup_datetime")

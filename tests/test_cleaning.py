@@ -176,6 +176,30 @@ def test_reports_on_empty_input(make_trips):
         Q.require_rows(a=make_trips({}), b=nothing)
 
 
+def test_gold_rules_find_what_they_should(make_trips):
+    gold = G.gold_daily_summary(build_silver(make_trips({}), "dbt"))
+    Q.enforce(Q.report(gold, Q.gold_rules("dbt")))
+    broken = gold.withColumns({"total_revenue": F.lit(0.0), "day_name": F.lit(None).cast("string")})
+    failed = {row["rule"] for row in Q.report(broken, Q.gold_rules("dbt")).collect() if not row["passed"]}
+    assert failed == {"revenue_positive", "not_null:day_name"}
+    assert Q.non_positive_revenue(broken).count() == 1 and Q.non_positive_revenue(gold).count() == 0
+
+
+def test_accepted_values_leave_null_to_other_rules(make_trips):
+    silver = build_silver(make_trips({"payment_type": 9}, {"payment_type": None}, {"vendor_id": 3}), "dbt")
+    failed = {row["rule"]: row["failed"] for row in Q.accepted_values_report(silver).collect()}
+    assert failed == {
+        "accepted_values:vendor_id": 1, "accepted_values:payment_type": 1,
+        "accepted_values:payment_type_label": 0, "accepted_values:time_of_day": 0,
+    }
+
+
+def test_preview(make_trips):
+    from tripstrata.operators.ranking import preview
+
+    assert preview(make_trips({}, {}, {}), 2).count() == 2
+
+
 def test_register_view(spark, make_trips):
     register_raw_view(make_trips({}), "v_raw")
     assert spark.sql("select count(tpep_pickup_datetime) from v_raw").first()[0] == 1

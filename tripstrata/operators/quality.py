@@ -165,6 +165,13 @@ def silver_rules(profile: str) -> list[Rule]:
     return SILVER_RULES[profile]() if profile in SILVER_RULES else []
 
 
+def gold_rules(profile: str) -> list[Rule]:
+    """Rules of the hourly gold table; only the ``dbt`` profile has any."""
+    if profile != "dbt":
+        return []
+    return [*not_null_rules(NOT_NULL_COLUMNS["gold"]), Rule("revenue_positive", F.col("total_revenue") > 0)]
+
+
 def silver_report(silver: DataFrame, profile: str) -> DataFrame:
     """The profile's report over its silver table."""
     return report(silver, silver_rules(profile), not_empty=profile in NON_EMPTY_PROFILES)

@@ -90,3 +90,8 @@ def top_revenue_hours(gold: DataFrame, n: int = 5) -> DataFrame:
 def top_pickup_zones(zone_counts: DataFrame, n: int = 20) -> DataFrame:
     """Busiest pickup zones."""
     return top_n(zone_counts, "pickups", n, ["pu_location_id"])
+
+
+def preview(rows: DataFrame, n: int = 10) -> DataFrame:
+    """Any ``n`` rows; Spark reads only as many files as it takes."""
+    return rows.limit(n)

@@ -123,6 +123,8 @@ def _write_layers(spark, trips, profile, root, silver_path, mode, lookback_days,
         layers[f"gold/{name}"], tables[name] = path, spark.read.parquet(path)
         gold_rows += tables[name].count()  # from the file footers
     record.gold_rows = gold_rows
+    if gold_rules := Q.gold_rules(profile):
+        lines += [row.asDict() for row in Q.enforce(Q.report(tables["daily_summary"], gold_rules), "gold")]
     inventory = require_layers(layer_inventory(spark, layers))
     return RunResult(record, lines, tables, inventory)
 

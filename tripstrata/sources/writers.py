@@ -102,6 +102,6 @@ def list_databases(spark: SparkSession) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN `{database}`").select(
-        F.col("namespace").alias("database"), F.col("tableName").alias("table")
-    )
+    """Stored tables of a database; temporary views, which Spark lists everywhere, are left out."""
+    listed = spark.sql(f"SHOW TABLES IN `{database}`").filter(~F.col("isTemporary"))
+    return listed.select(F.col("namespace").alias("database"), F.col("tableName").alias("table"))

@@ -404,6 +404,19 @@ def _silver(profile: str) -> str:
     return _as("silver", SILVER[profile])
 
 
+#: Queries whose result has a date column, and its name.
+DATE_COLUMNS = {
+    **dict.fromkeys(
+        [f"{kind}_{profile}" for kind in ("clean", "silver") for profile in RULES]
+        + """raw_trips partition_manifest gold_daily_hourly gold_daily_summary gold_daily_summary_lineitem gold_spark
+        gold_hour_zone gold_hour_demo gold_sim revenue_by_day top_revenue_hours merge_upsert incremental_filter
+        incremental_run dq_gold_revenue""".split(),
+        "pickup_date",
+    ),
+    "watermark": "watermark",
+}
+
+
 def oracles() -> dict[str, str]:
     hourly, zones, zone_rows = _as("hourly", HOURLY), _as("zones", ZONES), _as("gold", HOUR_ZONE)
     dbt, strict, view = _silver("dbt"), _silver("strict"), _as("view15", f"SELECT {_VIEW} FROM timed")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, leaks, mixing, quality, tokenstore
+from . import counts, leaks, mixing, near, quality, tokenstore
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,8 +27,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"), settings=near.Settings(shingle=4))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_quality, op4_token_files, op7_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op3_quality, op4_token_files, op7_decontamination, op8_near_duplicates, op10_token_counts)}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, leaks, mixing, near, quality, tokenstore
+from . import counts, leaks, mixing, near, pagetext, quality, tokenstore, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,14 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.token_report(table(spark, sf_dir, "documents"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.main_text(table(spark, sf_dir, "pages"))
+
+
+def op6_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.vector_links(table(spark, sf_dir, "embeddings"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,4 +43,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_quality, op4_token_files, op7_decontamination, op8_near_duplicates, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op3_quality, op4_token_files, op5_main_text, op6_vector_links, op7_decontamination, op8_near_duplicates, op10_token_counts)}

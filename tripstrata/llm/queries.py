@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, leaks, mixing, near, pagetext, quality, repeats, tokenstore, vectors
+from . import counts, leaks, lm, mixing, near, pagetext, quality, repeats, tokenstore, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +43,12 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), settings=near.Settings(shingle=4))
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_report(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_repeats, op3_quality, op4_token_files, op5_main_text, op6_vector_links, op7_decontamination, op8_near_duplicates, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_repeats, op3_quality, op4_token_files, op5_main_text, op6_vector_links, op7_decontamination, op8_near_duplicates, op9_language_model, op10_token_counts)}

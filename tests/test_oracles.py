@@ -15,7 +15,7 @@ def con():
     return connect(SMOKE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, con, sf_dir, name):
     assert compare(spark, con, sf_dir, queries()[name], SQL[name]) == []
 
@@ -26,5 +26,7 @@ def test_entry_is_the_hourly_summary(spark):
     assert frame.count() > 0
 
 
-def test_every_query_has_sql():
-    assert set(queries()) == set(SQL)
+def test_every_library_query_has_sql():
+    from tripstrata.plans.registry import QUERIES
+
+    assert set(QUERIES) <= set(SQL) <= set(queries())

@@ -15,8 +15,8 @@ def as_column(value: ColumnLike) -> Column:
 def round_half_up(value: ColumnLike, digits: int) -> Column:
     """Round a double half-up at ``digits`` decimals.
 
-    Rounding at ten decimals first drops binary noise, so that a sum of
-    1.00499999999999989 rounds to 1.01 whatever order it was added up in.
+    Rounding at ten decimals first drops the binary noise of a quotient, so that
+    1.00499999999999989 rounds to 1.01.  Sums need :func:`exact_sum` to not depend on order.
     (A detour through ``decimal`` gives the same digits but several times the
     generated code, which can push a stage over the JIT's method size limit.)
     """
@@ -49,6 +49,20 @@ def safe_divide(numerator: ColumnLike, denominator: ColumnLike, default: float =
     )
 
 
+#: Sums count in ten-thousandths: exact for money, miles and two-decimal ratios, and good for 9e14 in total.
+SUM_SCALE = 10_000
+
+
+def exact_sum(value: ColumnLike) -> Column:
+    """Aggregate: sum as double, added up in whole ten-thousandths, so the order of rows cannot matter."""
+    return F.sum(F.round(as_column(value) * SUM_SCALE).try_cast("bigint")) / float(SUM_SCALE)
+
+
+def exact_avg(value: ColumnLike) -> Column:
+    """Aggregate: :func:`exact_sum` over the number of values."""
+    return exact_sum(value) / F.count(as_column(value))
+
+
 def percent_of_rows(matching: Column, digits: int) -> Column:
     """Aggregate: share of rows for which ``matching`` holds, in percent."""
     return round_half_up(F.count_if(matching) * 100.0 / F.count(F.lit(1)), digits)

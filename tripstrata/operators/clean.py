@@ -49,18 +49,21 @@ def clean(trips: DataFrame, profile: str | Profile) -> DataFrame:
     Parquet scan as pushed filters.  Rules implied by others are left out,
     because each rule repeats the expressions its columns are derived from:
     a comparison with NULL already turns a row away, and where the duration is
-    computed here, its lower bound covers the presence and order of both times.
+    computed here, a gate on it covers the presence of both times and, with a
+    positive lower bound, their order.
     """
     rules = get_profile(profile)
     compared = {gate.column for gate in rules.gates if gate.compares()}
     own_duration = "trip_duration_minutes" not in trips.columns
-    if own_duration or rules.ordered_times:
+    on_duration = [gate for gate in rules.gates if own_duration and gate.column == "trip_duration_minutes" and gate.compares()]
+    in_order = any(g.low is not None and (g.low > 0 or (g.low == 0 and g.low_open)) for g in on_duration)
+    if on_duration or rules.ordered_times:
         compared |= {"pickup_datetime", "dropoff_datetime"}
     implied = {gate.reason for gate in rules.gates if not gate.compares() and gate.column in compared}
-    if own_duration:
+    if in_order:
         implied.add(DROPOFF_ORDER)
     needed = [accepts for reason, accepts in acceptance_rules(rules) if reason not in implied]
-    return _timed(trips).filter(reduce(lambda a, b: a & b, needed))
+    return _timed(trips).filter(reduce(lambda a, b: a & b, needed, F.lit(True)))
 
 
 def reject_reason(profile: str | Profile) -> Column:

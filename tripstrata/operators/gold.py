@@ -18,12 +18,12 @@ def _rows() -> Column:
 
 
 def _sum2(name: str) -> Column:
-    return X.round_half_up(F.sum(name), 2)
+    return X.round_half_up(X.exact_sum(name), 2)
 
 
 def _avg2(name: str) -> Column:
     # a sum is usually wanted too, and Spark shares it; avg() would keep its own
-    return X.round_half_up(F.sum(name) / F.count(name), 2)
+    return X.round_half_up(X.exact_avg(name), 2)
 
 
 def _weekday_columns(sunday: int) -> dict[str, Column]:
@@ -134,12 +134,12 @@ def gold_spark(silver: DataFrame) -> DataFrame:
     """Hourly KPIs of the ``spark`` silver table, unrounded."""
     hourly = silver.groupBy("pickup_date", "pickup_hour", "day_of_week").agg(
         _rows().alias("trip_count"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.avg("total_amount").alias("avg_fare"),
-        F.avg("trip_distance").alias("avg_distance"),
-        F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
+        X.exact_sum("total_amount").alias("total_revenue"),
+        X.exact_avg("total_amount").alias("avg_fare"),
+        X.exact_avg("trip_distance").alias("avg_distance"),
+        X.exact_avg("trip_duration_minutes").alias("avg_duration_minutes"),
         F.sum("passenger_count").alias("total_passengers"),
-        F.avg("tip_amount").alias("avg_tip"),
+        X.exact_avg("tip_amount").alias("avg_tip"),
         F.count_distinct("pu_location_id").alias("unique_pickup_zones"),
     )
     miles = F.col("trip_count") * F.col("avg_distance")
@@ -165,7 +165,7 @@ def gold_hour_zone(silver: DataFrame) -> DataFrame:
         X.percent_of_rows(F.col("is_long_trip"), 1).alias("long_trip_pct"),
         X.percent_of_rows(F.col("is_airport_trip"), 1).alias("airport_trip_pct"),
         F.sum("passenger_count").alias("total_passengers"),
-        X.guarded_ratio(F.sum("total_amount"), F.sum("trip_distance"), 0.0).alias("revenue_per_mile"),
+        X.guarded_ratio(X.exact_sum("total_amount"), X.exact_sum("trip_distance"), 0.0).alias("revenue_per_mile"),
     )
     calendar = {
         "pickup_year": F.year("pickup_date"),
@@ -191,7 +191,7 @@ def gold_hour_demo(silver: DataFrame) -> DataFrame:
         _avg2("tip_amount").alias("avg_tip"),
         X.percent_of_rows(F.col("was_tipped"), 1).alias("tip_rate_pct"),
         F.sum("passenger_count").alias("total_passengers"),
-        X.guarded_ratio(F.sum("total_amount"), F.sum("trip_distance"), 0.0).alias("revenue_per_mile"),
+        X.guarded_ratio(X.exact_sum("total_amount"), X.exact_sum("trip_distance"), 0.0).alias("revenue_per_mile"),
     )
     return measures.withColumns(_weekday_columns(sunday=0)).select(
         "pickup_date", "pickup_hour", "time_of_day", "day_of_week", "day_name", "is_weekend",
@@ -204,10 +204,10 @@ def gold_sim(silver: DataFrame) -> DataFrame:
     """Date x hour sums of the ``sim`` silver table, unrounded."""
     return silver.groupBy("pickup_date", "pickup_hour", "time_of_day").agg(
         _rows().alias("trip_count"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.sum("trip_distance").alias("total_distance"),
+        X.exact_sum("total_amount").alias("total_revenue"),
+        X.exact_sum("trip_distance").alias("total_distance"),
         F.count_if(F.col("tip_amount") > 0).alias("tipped_trips"),
-        F.sum("tip_pct").alias("total_tip_pct"),
+        X.exact_sum("tip_pct").alias("total_tip_pct"),
     )
 
 
@@ -226,19 +226,19 @@ GOLD_TABLES = {
 
 def revenue_by_day(silver: DataFrame) -> DataFrame:
     return silver.groupBy("pickup_date").agg(
-        F.sum("total_amount").alias("revenue"), _rows().alias("trips")
+        X.exact_sum("total_amount").alias("revenue"), _rows().alias("trips")
     )
 
 
 def pickup_zone_counts(silver: DataFrame) -> DataFrame:
     return silver.groupBy("pu_location_id").agg(
-        _rows().alias("pickups"), F.avg("total_amount").alias("avg_fare")
+        _rows().alias("pickups"), X.exact_avg("total_amount").alias("avg_fare")
     )
 
 
 def gold_totals(gold: DataFrame) -> DataFrame:
     """Totals over an hourly gold table: days, buckets, trips, revenue, revenue per trip."""
-    revenue, trips = F.sum("total_revenue"), F.sum("trip_count")
+    revenue, trips = X.exact_sum("total_revenue"), F.sum("trip_count")
     return gold.agg(
         F.count_distinct("pickup_date").alias("days"),
         _rows().alias("gold_rows"),
@@ -252,10 +252,10 @@ def source_stats(trips: DataFrame) -> DataFrame:
     """Totals over raw trips: revenue, miles, averages and credit-card share."""
     return trips.agg(
         _rows().alias("rows"),
-        X.round_half_up(F.sum("total_amount"), 2).alias("total_revenue"),
-        X.round_half_up(F.avg("total_amount"), 2).alias("avg_fare"),
-        X.round_half_up(F.sum("trip_distance"), 1).alias("total_miles"),
-        X.round_half_up(F.avg("trip_distance"), 2).alias("avg_distance"),
+        X.round_half_up(X.exact_sum("total_amount"), 2).alias("total_revenue"),
+        X.round_half_up(X.exact_avg("total_amount"), 2).alias("avg_fare"),
+        X.round_half_up(X.exact_sum("trip_distance"), 1).alias("total_miles"),
+        X.round_half_up(X.exact_avg("trip_distance"), 2).alias("avg_distance"),
         X.percent_of_rows(F.col("payment_type") == 1, 1).alias("credit_card_pct"),
     )
 

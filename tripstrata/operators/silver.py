@@ -9,7 +9,7 @@ from .. import functions as X
 from ..profiles import Profile, get_profile
 from ..schemas import MERGE_KEYS, RAW_VIEW_COLUMNS, SILVER_COLUMNS
 from .clean import clean, with_time_columns
-from .upsert import dedupe_latest
+from .upsert import dedupe_updates
 
 _VIEW_TYPES = {
     "tpep_pickup_datetime": "timestamp_ntz",
@@ -42,8 +42,8 @@ def newest_first(silver: DataFrame) -> list[Column]:
 
 
 def newest_per_key(silver: DataFrame) -> DataFrame:
-    """One row per merge key."""
-    return dedupe_latest(silver, MERGE_KEYS, newest_first(silver))
+    """One row per merge key; trips whose key is incomplete all stay."""
+    return dedupe_updates(silver, MERGE_KEYS, newest_first(silver))
 
 
 def register_raw_view(trips: DataFrame, name: str = "raw_trips") -> DataFrame:

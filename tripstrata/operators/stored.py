@@ -141,5 +141,5 @@ def run_maintenance(spark: SparkSession, tasks: dict[str, Callable[[], object]])
             task()
             results.append(Row(table=table, status="success", message=None))
         except Exception as error:  # the next table must not suffer
-            results.append(Row(table=table, status="failed", message=str(error)[:1000]))
+            results.append(Row(table=table, status="failed", message=str(error)))
     return spark.createDataFrame(results, "table string, status string, message string")

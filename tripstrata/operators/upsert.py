@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,16 @@ def dedupe_latest(rows: DataFrame, keys: Sequence[str], latest: Sequence[Column]
     return rows.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") == 1).drop("_nth")
 
 
+def dedupe_updates(rows: DataFrame, keys: Sequence[str], latest: Sequence[Column]) -> DataFrame:
+    """:func:`dedupe_latest` for rows to be merged: a NULL in the key equals nothing, so such rows all stay.
+
+    Each of them forms a group of its own, which also spreads them over the tasks.
+    """
+    incomplete = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
+    apart = rows.withColumn("_apart", F.when(incomplete, F.monotonically_increasing_id()))
+    return dedupe_latest(apart, [*keys, "_apart"], latest).drop("_apart")
+
+
 def incremental_extract(
     rows: DataFrame, keys: Sequence[str], replication_key: str, bookmark, tiebreak: Sequence[Column] = ()
 ) -> DataFrame:
@@ -88,7 +99,7 @@ def merge_upsert(
     keys = list(keys)
     kept = target.join(updates.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
     if latest is not None:
-        updates = dedupe_latest(updates, keys, latest)
+        updates = dedupe_updates(updates, keys, latest)
     elif check:
         repeated = (
             updates.na.drop(subset=keys)

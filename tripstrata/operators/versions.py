@@ -87,18 +87,25 @@ def rollback_to_version(
 
 
 def _commits(log: DataFrame) -> DataFrame:
-    """One row per version with its first and last change time.
-
-    Everything expiry needs to know about versions comes from this small
-    aggregate, which Spark computes once and shares between the subqueries.
-    """
+    """One row per version with its first and last change time."""
     return log.groupBy(VERSION).agg(F.min(COMMITTED_AT).alias("_first"), F.max(COMMITTED_AT).alias("_last"))
 
 
-def _horizon(commits: DataFrame, older_than, retain_last: int) -> DataFrame:
-    recent = commits.filter(F.col("_first") >= F.lit(older_than).cast("timestamp_ntz")).select(VERSION)
-    newest = commits.select(VERSION).orderBy(F.desc(VERSION)).limit(retain_last)
-    return recent.unionByName(newest).agg(F.min(VERSION).alias("horizon"))
+def _bounds(log: DataFrame, older_than, retain_last: int) -> DataFrame:
+    """One row ``bounds``: horizon, newest expired version and the time of its last change.
+
+    All three come from one aggregate with an entry per version, so the rows are read once for them.
+    """
+    if retain_last < 1:
+        raise ValueError("at least one version must be kept")
+    history = _commits(log).agg(F.sort_array(F.collect_list(F.struct(VERSION, "_first", "_last"))).alias("all"))
+    bound = F.lit(older_than).cast("timestamp_ntz")
+    kept = F.concat(F.filter("all", lambda x: x["_first"] >= bound), F.reverse(F.slice(F.reverse("all"), 1, retain_last)))
+    stays = history.select("all", F.array_min(F.transform(kept, lambda x: x[VERSION])).alias("horizon"))
+    gone = stays.select("horizon", F.filter("all", lambda x: x[VERSION] < F.col("horizon")).alias("gone"))
+    version = F.array_max(F.transform("gone", lambda x: x[VERSION]))
+    last = F.array_max(F.transform("gone", lambda x: x["_last"]))
+    return gone.select(F.struct("horizon", version.alias("version"), last.alias("last")).alias("bounds"))
 
 
 def retention_horizon(log: DataFrame, older_than, retain_last: int = 3) -> DataFrame:
@@ -108,7 +115,7 @@ def retention_horizon(log: DataFrame, older_than, retain_last: int = 3) -> DataF
     the ``retain_last`` newest; the horizon is the smallest version that stays,
     so what goes is always a prefix of the history.
     """
-    return _horizon(_commits(log), older_than, retain_last)
+    return _bounds(log, older_than, retain_last).select("bounds.horizon")
 
 
 def expire_versions(
@@ -120,13 +127,12 @@ def expire_versions(
     the newest expired version, so reads as of any kept version (or of the base)
     give the same rows as before.
     """
-    commits = _commits(log)
-    horizon = _horizon(commits, older_than, retain_last).scalar()
-    expired = commits.filter(F.col(VERSION) < horizon)
+    bounds = _bounds(log, older_than, retain_last).scalar()
+    horizon = bounds["horizon"]
     base = current_rows(log.filter(F.col(VERSION) < horizon), keys, tiebreak).withColumns(
         {
-            VERSION: expired.agg(F.max(VERSION)).scalar(),
-            COMMITTED_AT: expired.agg(F.max("_last")).scalar(),
+            VERSION: bounds["version"],
+            COMMITTED_AT: bounds["last"],
             OP: F.lit(UPSERT),
         }
     )

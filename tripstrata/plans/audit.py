@@ -6,12 +6,14 @@ import datetime as dt
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.upsert import dedupe_latest
 from ..sources.writers import write_parquet
 
 AUDIT_SCHEMA = (
     "flow string, run_id string, status string, started_at timestamp_ntz, completed_at timestamp_ntz, "
-    "rows_processed bigint, raw_rows bigint, silver_rows bigint, rejected_rows bigint, gold_rows bigint, notes string"
+    "rows_processed bigint, raw_rows bigint, silver_rows bigint, rejected_rows bigint, deduplicated_rows bigint, gold_rows bigint, notes string"
 )
 
 
@@ -30,6 +32,7 @@ class RunRecord:
     raw_rows: int | None = None
     silver_rows: int | None = None
     rejected_rows: int | None = None
+    deduplicated_rows: int | None = None
     gold_rows: int | None = None
     notes: str | None = None
 
@@ -40,9 +43,11 @@ class RunRecord:
 
 
 def append_run(spark: SparkSession, record: RunRecord, path: str) -> None:
-    """Add a finished run to the audit table."""
+    """Add a run to the audit table: once when it starts (``running``) and once when it ends."""
     write_parquet(record.to_frame(spark), path, mode="append")
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).parquet(path)
+    """One row per run: how it ended, or that it started and was never heard of again."""
+    rows = spark.read.schema(AUDIT_SCHEMA).parquet(path)
+    return dedupe_latest(rows, ["flow", "run_id"], [F.desc_nulls_last("completed_at")])

@@ -12,7 +12,7 @@ from ..operators import quality as Q
 from ..operators.clean import REJECT_REASON, with_reject_reason
 from ..operators.gold import GOLD_TABLES
 from ..operators.silver import VIEW_TO_TRIP_NAMES, build_silver, newest_per_key, raw_trips
-from ..operators.stored import merge_into_path
+from ..operators.stored import finish_merge, merge_into_path
 from ..operators.upsert import incremental_filter
 from ..schemas import MERGE_KEYS
 from ..sources import files
@@ -93,11 +93,12 @@ def run_medallion(
     root = root.rstrip("/")
     silver_path, audit_path = f"{root}/silver/{profile}", f"{root}/audit"
     record = RunRecord(f"medallion_{profile}", run_id or uuid.uuid4().hex, utc_now())
+    append_run(spark, record, audit_path)  # a run whose driver dies stays visible as ``running``
     try:
         result = _write_layers(spark, trips, profile, root, silver_path, mode, lookback_days, record)
         record.status = "success"
     except Exception as error:
-        record.status, record.notes = "failed", str(error)[:1000]
+        record.status, record.notes = "failed", str(error)
         raise
     finally:
         record.completed_at = utc_now()
@@ -117,14 +118,19 @@ def _write_layers(spark, trips, profile, root, silver_path, mode, lookback_days,
 
     silver = spark.read.parquet(silver_path)
     layers, tables, gold_rows = {"silver": silver_path}, {"silver": silver}, 0
+    paths = {name: f"{root}/gold/{profile}/{name}" for name in GOLD_TABLES[profile]}
     for name, build in GOLD_TABLES[profile].items():
-        path = f"{root}/gold/{profile}/{name}"
-        write_parquet(build(silver), path)
+        files.recover(spark, f"{paths[name]}__staged", paths[name])
+        by_day = ["pickup_date"] if name == "daily_summary" else []
+        write_parquet(build(silver), f"{paths[name]}__staged", partition_by=by_day)
+    if gold_rules := Q.gold_rules(profile):
+        staged = spark.read.parquet(f"{paths['daily_summary']}__staged")
+        lines += [row.asDict() for row in Q.enforce(Q.report(staged, gold_rules), "gold not published")]
+    for name, path in paths.items():  # all tables are written and checked: put them in place
+        files.publish(spark, f"{path}__staged", path)
         layers[f"gold/{name}"], tables[name] = path, spark.read.parquet(path)
         gold_rows += tables[name].count()  # from the file footers
     record.gold_rows = gold_rows
-    if gold_rules := Q.gold_rules(profile):
-        lines += [row.asDict() for row in Q.enforce(Q.report(tables["daily_summary"], gold_rules), "gold")]
     inventory = require_layers(layer_inventory(spark, layers))
     return RunResult(record, lines, tables, inventory)
 
@@ -132,27 +138,35 @@ def _write_layers(spark, trips, profile, root, silver_path, mode, lookback_days,
 def _rebuild_silver(spark, trips, profile, silver_path, record) -> list[dict]:
     stage = f"{silver_path}__staged"
     files.recover(spark, stage, silver_path)
-    raw_count = Observation(f"raw_{record.run_id}")
-    counted = trips.observe(raw_count, F.count(F.lit(1)).alias("rows"))
-    silver, checks, names = _observed(build_silver(counted, profile), profile, f"silver_{record.run_id}")
+    finish_merge(spark, silver_path)  # or an older stage would be published over the new table later
+    built = build_silver(trips, profile)
+    if profile == "dbt":
+        built = newest_per_key(built)  # the rule of the incremental mode
+    silver, checks, names = _observed(built, profile, f"silver_{record.run_id}")
     write_parquet(silver, stage, partition_by=["pickup_date"], sort_by=SORT_COLUMNS.get(profile, ("pickup_datetime",)))
-    raw_rows, silver_rows = raw_count.get["rows"], spark.read.parquet(stage).count()
-    record.raw_rows = record.rows_processed = raw_rows
-    record.silver_rows, record.rejected_rows = silver_rows, raw_rows - silver_rows
+    silver_rows = spark.read.parquet(stage).count()
+    _account(record, with_reject_reason(trips, profile), silver_rows)
     lines = _report(checks.get, names, silver_rows, profile in Q.NON_EMPTY_PROFILES)
     Q.enforce(lines, f"silver of profile {profile} not published")
     files.publish(spark, stage, silver_path)
     return lines
 
 
+def _account(record: RunRecord, tagged: DataFrame, silver_rows: int) -> None:
+    """raw = silver + rejected + deduplicated, from a pass over the columns that rules test."""
+    raw_rows, rejected = tagged.agg(F.count(F.lit(1)), F.count(REJECT_REASON)).first()
+    record.raw_rows = record.rows_processed = raw_rows
+    record.silver_rows, record.rejected_rows = silver_rows, rejected
+    record.deduplicated_rows = raw_rows - rejected - silver_rows
+
+
 def _extend_silver(spark, trips, silver_path, lookback_days, record) -> list[dict]:
+    files.recover(spark, f"{silver_path}__staged", silver_path)
+    finish_merge(spark, silver_path)  # before anything reads the table
     stored = spark.read.parquet(silver_path) if files.exists(spark, silver_path) else None
     fresh = incremental_filter(raw_trips(trips), stored, lookback_days=lookback_days)
     updates = newest_per_key(build_silver(fresh, "dbt"))
     lines = [row.asDict() for row in Q.enforce(Q.silver_report(updates, "dbt"), "updates not merged")]
-    tagged = with_reject_reason(fresh.withColumnsRenamed(VIEW_TO_TRIP_NAMES), "dbt")
-    raw_rows, rejected = tagged.agg(F.count(F.lit(1)), F.count(REJECT_REASON)).first()
-    record.raw_rows = record.rows_processed = raw_rows
-    record.silver_rows, record.rejected_rows = lines[0]["checked"], rejected
+    _account(record, with_reject_reason(fresh.withColumnsRenamed(VIEW_TO_TRIP_NAMES), "dbt"), lines[0]["checked"])
     merge_into_path(spark, silver_path, updates, MERGE_KEYS, check=False)
     return lines

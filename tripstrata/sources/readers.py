@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,8 @@ def conform(raw: DataFrame) -> DataFrame:
     def typed(field: T.StructField):
         if field.name not in have:
             value = F.lit(None)
+        elif have[field.name] in ("float", "double"):
+            value = F.when(F.abs(F.col(field.name)) < float("inf"), F.col(field.name))  # not NaN either
         elif have[field.name] == "string" and isinstance(field.dataType, T.NumericType):
             return clean_number(field.name, field.dataType.simpleString()).alias(field.name)
         else:
@@ -65,22 +68,29 @@ def read_lenient_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     An empty number counts as 0 and an empty flag as ``N``; text that is no
     number stays NULL and is rejected by cleaning.
     """
-    text = (
-        spark.read.schema(_TEXT_SCHEMA)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .csv(path)
-    )
-    return lenient_trips(text)
+    return lenient_trips(read_text_csv(spark, path))
+
+
+def read_text_csv(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
+    """CSV cells as text under the names of the header, in whatever order it has them.
+
+    All files of one call must have the same header; a file with another one is an error, never a column under
+    the wrong name.
+    """
+    reader = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+    reader = reader.options(**options)
+    names = [name.strip() for name in reader.csv(path).columns]  # reads one line
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return reader.schema(schema).option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path)
 
 
 def lenient_trips(text: DataFrame) -> DataFrame:
-    """Type a table of raw text columns as :func:`read_lenient_csv` does."""
+    """Type a table of raw text columns as :func:`read_lenient_csv` does; absent columns count as empty cells."""
+    have = set(text.columns)
 
     def typed(field: T.StructField):
-        cell = F.coalesce(F.nullif(F.trim(F.col(field.name)), F.lit("")), F.lit(None))
+        given = F.col(field.name) if field.name in have else F.lit(None).cast("string")
+        cell = F.nullif(F.trim(given), F.lit(""))
         if isinstance(field.dataType, T.NumericType):
             filled = F.coalesce(cell, F.lit("0"))
             return clean_number(filled, field.dataType.simpleString()).alias(field.name)
@@ -102,21 +112,45 @@ def monthly_file(root: str, year: int, month: int) -> str:
     return f"{root.rstrip('/')}/yellow_tripdata_{year:04d}-{month:02d}.parquet"
 
 
-def read_landed(spark: SparkSession, root: str) -> DataFrame:
-    """Trips from a landing folder that mixes CSV and Parquet files.
+def read_landed(spark: SparkSession, root: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Trips from a landing folder that mixes CSV, JSON lines and Parquet files.
 
-    Each format is read by its own reader; ``year=/month=/day=`` folders below
-    the root are used for pruning and then dropped.
+    Each format is read by its own reader, by column name.  ``first`` and ``last`` (ISO dates, inclusive) choose
+    ingest days by the ``year=/month=[/day=]`` folders, so Spark lists and reads no others; a month's folder
+    without days counts as its first day.
     """
-    csv = spark.read.schema(_TEXT_SCHEMA).option("header", True).option("pathGlobFilter", "*.csv")
-    landed = conform(csv.csv(root))
-    try:
-        parquet = spark.read.option("pathGlobFilter", "*.parquet").parquet(root)
-    except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return landed  # no Parquet file in the folder
-    return landed.unionByName(conform(parquet))
+    day = _landed_day()
+
+    def chosen(frame: DataFrame) -> DataFrame:
+        parts = {"year", "month"} <= set(frame.columns)
+        if (first or last) and not parts:
+            raise ValueError(f"{root} has no year=/month= folders to choose days from")
+        if "day" not in frame.columns:
+            frame = frame.withColumn("day", F.lit(1))
+        for bound, keeps in ((first, day.__ge__), (last, day.__le__)):
+            if bound:
+                frame = frame.filter(keeps(F.to_date(F.lit(bound))))
+        return frame
+
+    readers = (
+        lambda: conform(chosen(read_text_csv(spark, root, pathGlobFilter="*.csv*"))),
+        lambda: conform(chosen(spark.read.schema(_TEXT_SCHEMA).option("pathGlobFilter", "*.json*").json(root))),
+        lambda: conform(chosen(spark.read.option("pathGlobFilter", "*.parquet").parquet(root))),
+    )
+    present = [read() for glob, read in zip(("*.csv*", "*.json*", "*.parquet"), readers) if _has_files(spark, root, glob)]
+    if not present:
+        return conform(spark.createDataFrame([], _TEXT_SCHEMA))
+    return reduce(DataFrame.unionByName, present)
+
+
+def _landed_day():
+    return F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
+
+
+def _has_files(spark: SparkSession, root: str, glob: str) -> bool:
+    """Whether any file below ``root`` has such a name (only names are listed)."""
+    named = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+    return not named.select("path").limit(1).isEmpty()
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

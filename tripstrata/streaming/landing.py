@@ -16,24 +16,26 @@ from ..operators.silver import build_silver, newest_per_key
 from ..operators.stored import merge_into_path
 from ..schemas import MERGE_KEYS, RAW_SCHEMA
 from ..session import shared_folder
-from ..sources.readers import lenient_trips
+from ..sources.readers import conform, lenient_trips
 
 _TEXT_SCHEMA = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_SCHEMA])
 
 
 def landed_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
-    """Stream of typed trips from CSV files below ``landing``."""
-    reader = (
-        spark.readStream.schema(_TEXT_SCHEMA)
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-    )
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return lenient_trips(reader.csv(landing))
+    """Stream of typed trips from CSV, JSON-lines and Parquet files below ``landing``.
+
+    A stream's columns are fixed when it starts, so CSV headers must be those of the raw schema, in its order; a
+    file with another header stops the stream instead of putting cells under wrong names.
+    """
+
+    def reader(glob: str, schema: T.StructType):
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+        return stream.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else stream
+
+    csv = reader("*.csv*", _TEXT_SCHEMA).option("header", True).option("enforceSchema", False)
+    csv = csv.option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(landing)
+    lines = reader("*.json*", _TEXT_SCHEMA).json(landing)
+    return lenient_trips(csv).unionByName(lenient_trips(lines)).unionByName(conform(reader("*.parquet", RAW_SCHEMA).parquet(landing)))
 
 
 def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:

@@ -7,7 +7,9 @@ are found by their 64-bit hashes, encoded by the library and kept.  ``tests/llm`
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -17,8 +19,8 @@ from tokenizers import Tokenizer
 from .words import NOT_SPACE, SLICE_BYTES, hashes, spans, text_slices
 
 VOCABULARY = "word_bpe_49k.json"
-#: Ids of a piece are kept up to this many pieces, then the store starts anew: about 100 MB a worker.
-KEPT_PIECES = 400_000
+#: Ids are kept for up to this many pieces, then the store starts anew: about 60 MB a worker.
+KEPT_PIECES = 1_500_000
 
 
 def path(name: str = VOCABULARY) -> str:
@@ -30,51 +32,85 @@ def load(file: str) -> Tokenizer:
     return Tokenizer.from_file(file)
 
 
+#: Letters, then marks: pieces whose normal form and split are plain.  The byte-level alphabet shows printable
+#: bytes as themselves and the others, in order, as the characters from 256 on.
+_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]*)([!-&(-/:-@\[-`{-~]*)")
+_SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_AS_CHARACTER = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+def encode_pieces(tokenizer: Tokenizer, pieces: list[str]) -> list[list[int]]:
+    """Ids of pieces without white space.  Letters followed by marks go to the library's BPE model directly, in
+    lower case; whatever else a piece holds goes through the whole tokenizer."""
+    model, out, other = tokenizer.model, [], []
+    for i, piece in enumerate(pieces):
+        plain = _PLAIN.fullmatch(piece)
+        ids: list[int] = []
+        if plain:
+            for part in plain.groups():
+                if part:
+                    ids += [t.id for t in model.tokenize(part if part.isascii() and part.islower() else part.lower().encode("utf-8").decode("latin-1").translate(_AS_CHARACTER))]
+        else:
+            other.append(i)
+        out.append(ids)
+    if other:
+        for i, e in zip(other, tokenizer.encode_batch_fast([pieces[i] for i in other], add_special_tokens=False)):
+            out[i] = e.ids
+    return out
+
+
 class PieceStore:
-    """Ids of pieces in one growing array, found by hash in a sorted table and a small unsorted tail."""
+    """Ids of pieces in one growing array, found by hash in a large sorted table and a small recent one."""
 
     def __init__(self, file: str, kept: int = KEPT_PIECES):
         self.tokenizer, self.kept = load(file), kept
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)  # sorted
-        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        nothing = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32))  # hash, first id, number of ids
+        self.tables = [nothing, nothing]
         self.ids = np.zeros(0, np.int32)
 
     def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces one after the other, number of ids of each piece)."""
-        at, which = self.slots(data, starts, ends)
-        count, first = self.count[at][which], self.first[at][which]
-        total = int(count.sum())
-        step = np.arange(total) - np.repeat(np.cumsum(count) - count, count)
+        first, count, which = self.lookup(data, starts, ends)
+        first, count = first[which], count[which]
+        step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
         return self.ids[np.repeat(first, count) + step], count
 
     def counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        at, which = self.slots(data, starts, ends)
-        return self.count[at][which]
+        _, count, which = self.lookup(data, starts, ends)
+        return count[which]
 
-    def slots(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the distinct pieces in the store, and each piece's index among them."""
+    def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First id and number of ids of the distinct pieces, and each piece's index among them."""
         keys, example, which = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.keys, keys)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == keys[known]
-        if not known.all():
-            if len(self.keys) + np.count_nonzero(~known) > self.kept and len(self.keys):
-                self.clear()
-                known[:] = False
-            new = np.flatnonzero(~known)
+        if len(self.tables[0][0]) + len(self.tables[1][0]) > self.kept:
+            self.clear()
+        first, count = np.zeros(len(keys), np.int64), np.full(len(keys), -1, np.int64)
+        for table in self.tables:
+            at = np.searchsorted(table[0], keys)
+            at[at == len(table[0])] = 0
+            if len(table[0]):
+                hit = table[0][at] == keys
+                first[hit], count[hit] = table[1][at[hit]], table[2][at[hit]]
+        new = np.flatnonzero(count < 0)
+        if len(new):
             raw = data.tobytes()
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast([raw[a:b].decode("utf-8") for a, b in zip(starts[example[new]].tolist(), ends[example[new]].tolist())], add_special_tokens=False)]
-            count = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter((i for x in lists for i in x), np.int32, int(count.sum()))
-            first = len(self.ids) + np.cumsum(count) - count
-            self.ids = np.concatenate((self.ids, flat))
-            place = np.searchsorted(self.keys, keys[new])
-            self.keys, self.first, self.count = (np.insert(a, place, b) for a, b in ((self.keys, keys[new]), (self.first, first), (self.count, count)))
-            at = np.searchsorted(self.keys, keys)
-        return at, which
+            lists = encode_pieces(self.tokenizer, [raw[a:b].decode("utf-8") for a, b in zip(starts[example[new]].tolist(), ends[example[new]].tolist())])
+            count[new] = np.fromiter(map(len, lists), np.int64, len(lists))
+            first[new] = len(self.ids) + np.cumsum(count[new]) - count[new]
+            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(lists), np.int32, int(count[new].sum()))))
+            self.tables[1] = _merged(self.tables[1], (keys[new], first[new], count[new].astype(np.int32)))
+            if len(self.tables[1][0]) > 100_000:
+                self.tables = [_merged(*self.tables), tuple(a[:0] for a in self.tables[1])]
+        return first, count, which
+
+
+def _merged(a: tuple, b: tuple) -> tuple:
+    both = [np.concatenate(pair) for pair in zip(a, b)]
+    order = np.argsort(both[0], kind="stable")
+    return tuple(x[order] for x in both)
 
 
 @lru_cache(maxsize=2)

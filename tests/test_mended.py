@@ -176,3 +176,17 @@ def test_sums_do_not_depend_on_partitions(spark):
     sums = {cents.repartition(n, "id").agg(X.exact_sum("x"), X.exact_avg("x")).first() for n in (3, 16)}
     assert len(sums) == 1
     assert next(iter(sums))[0] == cents.agg(F.sum(F.col("x").cast("decimal(12,2)"))).first()[0].__float__()
+
+
+@pytest.mark.parametrize("partition", ["day", "_version"])
+def test_compaction_settles(spark, tmp_path, partition):
+    rows = spark.range(4000).select("id", F.hash("id").alias("x"))
+    value = F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 5)
+    value = F.date_add(F.lit("2024-01-01"), value.cast("int")) if partition == "day" else value
+    path = str(tmp_path / "log")
+    rows.withColumn(partition, value).repartition(9).write.partitionBy(partition).parquet(path)
+    first = ST.compact(spark, path, partition, ["id"], target_bytes=9_000)
+    assert first.count() == 5 and all(r["files_after"] < r["files_before"] for r in first.collect())
+    assert ST.compact(spark, path, partition, ["id"], target_bytes=9_000).count() == 0
+    again = spark.read.parquet(path)
+    assert again.count() == 4000 and again.filter(F.hash("id") != F.col("x")).isEmpty()

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources import files
 from ..sources.layout import stored_manifest
@@ -100,28 +100,31 @@ def compact(
 ) -> DataFrame:
     """Rewrite partitions that hold more files than their size needs; rows stay the same.
 
-    Rows are range-partitioned by partition and sort column, so a large day
-    becomes several files of neighbouring times and no task gets a whole day
-    just because it is one.  Returns files, bytes and rows per rewritten
-    partition before and after.
+    Each of them gets as many files as target sizes fit into it, at least one, so a second run finds nothing to
+    do; files are sorted.  A large partition's rows are dealt to its files by hash, so no task gets all of it.
+    Returns files, bytes and rows per rewritten partition before and after.
     """
     finish_merge(spark, path, partition)
     needed = F.greatest(F.ceil(F.col("bytes") / target_bytes), F.lit(1))
+    manifest = stored_manifest(spark.read.parquet(path), partition)
     # one row per partition folder with more files than needed
-    crowded = stored_manifest(spark.read.parquet(path), partition).filter(F.col("files") > needed).collect()
-    schema = f"{partition} date, files bigint, bytes bigint, rows bigint"
-    before = spark.createDataFrame([tuple(row) for row in crowded], schema)
+    crowded = manifest.filter(F.col("files") > needed).collect()
+    before = spark.createDataFrame(crowded, manifest.schema)
     if not crowded:
         empty = before.withColumnsRenamed({name: f"{name}_before" for name in ("files", "bytes", "rows")})
         return empty.withColumns({f"{name}_after": F.lit(None).cast("bigint") for name in ("files", "bytes", "rows")})
-    values = [row[partition] for row in crowded]
-    pieces = max(1, math.ceil(sum(row["bytes"] for row in crowded) / target_bytes))
-    rows = spark.read.parquet(path).filter(F.col(partition).isin(values))
-    spread = rows.repartitionByRange(pieces, partition, *sort_by)
+    pieces = {row[partition]: max(1, round(row["bytes"] / target_bytes)) for row in crowded}
+    rows = spark.read.parquet(path)
+    of_partition = spark.createDataFrame(list(pieces.items()), T.StructType([rows.schema[partition], T.StructField("_pieces", T.LongType())]))
+    dealt = rows.join(of_partition, partition).withColumn("_piece", F.pmod(F.xxhash64(*rows.columns), "_pieces"))
+    # in the order of (partition, piece), so that two files of one partition seldom meet in a task and become one
+    spread = dealt.repartitionByRange(sum(pieces.values()), partition, "_piece").select(*rows.columns)
     write_parquet(spread, _stage(path), partition_by=[partition], sort_by=sort_by, rebalance=False)
     staged = spark.read.parquet(_stage(path))
     if staged.count() != sum(row["rows"] for row in crowded):
         raise RuntimeError(f"compaction of {path} lost rows; table left as it was")
+    if max(pieces.values()) > 1:  # reading would pack small files together
+        staged = staged.repartition(sum(pieces.values()), F.input_file_name()).sortWithinPartitions(partition, *sort_by)
     overwrite_partitions(staged, path, [partition], rebalance=False)
     files.delete(spark, _stage(path))
     after = stored_manifest(spark.read.parquet(path), partition)

@@ -410,13 +410,29 @@ DATE_COLUMNS = {
         [f"{kind}_{profile}" for kind in ("clean", "silver") for profile in RULES]
         + """raw_trips partition_manifest gold_daily_hourly gold_daily_summary gold_daily_summary_lineitem gold_spark
         gold_hour_zone gold_hour_demo gold_sim revenue_by_day top_revenue_hours merge_upsert incremental_filter
-        incremental_run dq_gold_revenue""".split(),
+        incremental_run dq_gold_revenue dq_gold_revenue_refunded clean_replaced_thresholds""".split(),
         "pickup_date",
     ),
     "watermark": "watermark",
 }
 
 
+def _untidy_sql(empty: str, flag: str | None, absent: str) -> str:
+    """``events`` as untidy text, typed again: ``empty`` and ``flag`` stand for blank cells."""
+    blank = f"coalesce(nullif(trim(flag), ''), {flag})" if flag else "flag"
+    return f"""
+      WITH cells AS (
+        SELECT CAST(event_id AS VARCHAR) AS vendor, CASE WHEN event_id % 7 = 0 THEN NULL ELSE '2024-01-02 03:04:05' END AS start_at,
+          CASE WHEN event_id % 5 = 0 THEN '  ' ELSE ' Y' END AS flag, CASE WHEN event_id % 3 = 0 THEN '2.0' ELSE ' 3' END AS people,
+          CASE WHEN event_id % 11 = 0 THEN {empty} WHEN event_id % 13 = 0 OR event_id % 17 = 0 THEN NULL
+               ELSE CAST(event_id % 900 AS VARCHAR) || '.25' END AS fare
+        FROM events)
+      SELECT CAST(vendor AS INTEGER) AS vendor_id, start_at AS pickup_text, {blank} AS store_and_fwd_flag,
+        CAST(CAST(trim(people) AS DOUBLE) AS INTEGER) AS passenger_count, CAST(fare AS DOUBLE) AS fare_amount,
+        {absent.format(kind="DOUBLE")} AS tip_amount, {absent.format(kind="INTEGER")} AS payment_type
+      FROM cells"""
+
+
 def oracles() -> dict[str, str]:
     hourly, zones, zone_rows = _as("hourly", HOURLY), _as("zones", ZONES), _as("gold", HOUR_ZONE)
     dbt, strict, view = _silver("dbt"), _silver("strict"), _as("view15", f"SELECT {_VIEW} FROM timed")
@@ -570,6 +586,24 @@ def oracles() -> dict[str, str]:
             _silver("sim"),
         ),
     }
+    replaced = accepted("dbt").replace("trip_duration_minutes >= 1 AND trip_duration_minutes <= 240", "trip_duration_minutes >= 0 AND trip_duration_minutes <= 120")
+    replaced = replaced.replace("fare_amount >= 1 AND fare_amount <= 500", "fare_amount >= 3 AND fare_amount <= 60")
+    refunded = _as("silver", f"SELECT * REPLACE (total_amount - 60 AS total_amount) FROM ({SILVER['dbt']})")
+    sql |= {
+        "clean_replaced_thresholds": _sql(f"SELECT {_TRIP} FROM timed WHERE {replaced}"),
+        "dq_gold_revenue_refunded": _sql("SELECT pickup_date, pickup_hour, total_revenue FROM hourly WHERE total_revenue <= 0", refunded, hourly),
+        "lenient_text": _untidy_sql(empty="'0'", flag="'N'", absent="CAST(0 AS {kind})"),
+        "conform_text": _untidy_sql(empty="NULL", flag=None, absent="CAST(NULL AS {kind})"),
+        "schema_evolution": """SELECT event_id, user_id, event_type, CAST(NULL AS DOUBLE) AS value FROM events WHERE event_id % 2 = 0
+          UNION ALL SELECT event_id, CAST(NULL AS BIGINT), event_type, value FROM events WHERE event_id % 2 = 1""",
+        "file_listing": "SELECT count(*) AS rows FROM events",
+        "merge_upsert_incomplete_keys": """
+          WITH t AS (SELECT CASE WHEN event_id % 10 <> 0 THEN user_id END AS k, event_id, event_type FROM events WHERE event_id % 3 = 0),
+          u AS (SELECT CASE WHEN event_id % 10 <> 0 THEN user_id END AS k, event_id, event_type FROM events WHERE event_id % 3 = 1)
+          SELECT * FROM t WHERE k IS NULL OR k NOT IN (SELECT k FROM u WHERE k IS NOT NULL)
+          UNION ALL SELECT * FROM u WHERE k IS NULL
+          UNION ALL (SELECT * FROM u WHERE k IS NOT NULL QUALIFY row_number() OVER (PARTITION BY k ORDER BY event_id DESC) = 1)""",
+    }
     for profile in RULES:
         sql[f"clean_{profile}"] = _sql(f"SELECT {_TRIP} FROM timed WHERE {accepted(profile)}")
         sql[f"silver_{profile}"] = _sql("SELECT * FROM silver", _silver(profile))

@@ -8,6 +8,7 @@ depend on the order rows are added up; the operators themselves do not round.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,11 @@ from ..operators import ranking as R
 from ..operators import upsert as U
 from ..operators import versions as V
 from ..operators.silver import build_silver, newest_first, raw_trips
+from ..profiles import PROFILES, between
 from ..schemas import INGEST_KEYS, MERGE_KEYS
 from ..sources import adapters as A
 from ..sources import layout as L
+from ..sources.readers import conform, lenient_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,6 +97,51 @@ def dedupe_latest(spark, sf_dir):
     return newest.select(*INGEST_KEYS, *carried, "pu_location_id", "fare_amount", "total_amount")
 
 
+def untidy_text(spark, sf_dir):
+    """``events`` as raw text cells, some blank, padded or no number, without two of the raw columns."""
+    number = F.when(F.col("event_id") % 11 == 0, "").when(F.col("event_id") % 13 == 0, "n/a").when(F.col("event_id") % 17 == 0, "nan")
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        F.col("event_id").cast("string").alias("VendorID"),
+        F.when(F.col("event_id") % 7 == 0, "soon").otherwise(F.lit("2024-01-02 03:04:05")).alias("tpep_pickup_datetime"),
+        F.when(F.col("event_id") % 5 == 0, "  ").otherwise(F.lit(" Y")).alias("store_and_fwd_flag"),
+        F.when(F.col("event_id") % 3 == 0, "2.0").otherwise(F.lit(" 3")).alias("passenger_count"),
+        number.otherwise(F.concat(F.lit(" "), (F.col("event_id") % 900).cast("string"), F.lit(".25 "))).alias("fare_amount"),
+        (F.col("event_id") % 9).cast("string").alias("column_no_schema_has"),
+    )
+
+
+UNTIDY_COLUMNS = ("vendor_id", "pickup_text", "store_and_fwd_flag", "passenger_count", "fare_amount", "tip_amount", "payment_type")
+
+
+def _untidy(trips: DataFrame) -> DataFrame:
+    return trips.withColumn("pickup_text", F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss")).select(*UNTIDY_COLUMNS)
+
+
+@query
+def lenient_text(spark, sf_dir):
+    return _untidy(lenient_trips(untidy_text(spark, sf_dir)))
+
+
+@query
+def conform_text(spark, sf_dir):
+    return _untidy(conform(untidy_text(spark, sf_dir)))
+
+
+@query
+def schema_evolution(spark, sf_dir):
+    """Rows written before and after a column was added and another dropped."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    older = events.filter("event_id % 2 = 0").select("event_id", "user_id", "event_type")
+    newer = events.filter("event_id % 2 = 1").select("event_id", "value", "event_type")
+    return V.read_together(older, newer)
+
+
+@query
+def file_listing(spark, sf_dir):
+    """Rows behind the stored files of a table."""
+    return L.list_files(spark.read.parquet(f"{sf_dir}/events.parquet")).agg(F.sum("rows").alias("rows"))
+
+
 # ---- cleaning ------------------------------------------------------------------------
 
 
@@ -110,6 +158,21 @@ for _profile in ("dbt", "strict", "demo", "spark", "sim"):
     QUERIES[f"silver_{_profile}"] = _silver_query(_profile)
 
 
+#: The ``dbt`` rules with a zero lower bound of the duration and other fares; the order of times still counts.
+REPLACED = replace(
+    PROFILES["dbt"],
+    gates=tuple(
+        between("duration", "trip_duration_minutes", 0.0, 120.0) if g.reason == "duration" else between("fare", "fare_amount", 3.0, 60.0) if g.reason == "fare" else g
+        for g in PROFILES["dbt"].gates
+    ),
+)
+
+
+@query
+def clean_replaced_thresholds(spark, sf_dir):
+    return C.clean(A.trips_from_events(spark, sf_dir), REPLACED)
+
+
 @query
 def reject_summary(spark, sf_dir):
     trips = A.trips_from_events(spark, sf_dir)
@@ -322,6 +385,23 @@ def dq_gold_revenue(spark, sf_dir):
     return Q.non_positive_revenue(G.gold_daily_summary(_silver(spark, sf_dir, "dbt")))
 
 
+@query
+def dq_gold_revenue_refunded(spark, sf_dir):
+    """The revenue rule where it finds hours: every trip is refunded 60."""
+    silver = _silver(spark, sf_dir, "dbt").withColumn("total_amount", F.col("total_amount") - 60)
+    return Q.non_positive_revenue(G.gold_daily_summary(silver))
+
+
+@query
+def merge_upsert_incomplete_keys(spark, sf_dir):
+    """Updates with and without a complete key, several for each, the latest first."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    key = F.when(F.col("event_id") % 10 != 0, F.col("user_id"))
+    target = events.filter("event_id % 3 = 0").select(key.alias("k"), "event_id", "event_type")
+    updates = events.filter("event_id % 3 = 1").select(key.alias("k"), "event_id", "event_type")
+    return U.merge_upsert(target, updates, ["k"], latest=[F.desc("event_id")])
+
+
 @query
 def dq_silver_duration(spark, sf_dir):
     return Q.non_positive_duration(_silver(spark, sf_dir, "dbt"))

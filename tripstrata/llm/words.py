@@ -81,13 +81,19 @@ def spans(data: np.ndarray, offsets: np.ndarray, wordlike: np.ndarray) -> tuple[
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span's bytes, wherever it stands."""
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64)
-    up, down = powers(len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_KEYS[data] * up[: len(data)], out=total[1:])
-    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each span's bytes, wherever it stands.  Spans are in order and apart; a long text is
+    hashed in stretches, so that arrays of eight bytes a byte stay short."""
+    out, row = np.zeros(len(starts), np.uint64), 0
+    while row < len(starts):
+        end = max(row + 1, int(np.searchsorted(ends, starts[row] + SLICE_BYTES, "right")))
+        low = int(starts[row])
+        part, first, last = data[low : ends[end - 1]], starts[row:end] - low, ends[row:end] - low
+        up, down = powers(len(part))
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE_KEYS[part] * up[: len(part)], out=total[1:])
+        out[row:end] = mixed((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64))
+        row = end
+    return out
 
 
 def chained(keys: np.ndarray, width: int) -> np.ndarray:

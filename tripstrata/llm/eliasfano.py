@@ -76,17 +76,27 @@ class EliasFano:
         """The values at places ``i``."""
         return ((self._select(i, True) - i).astype(np.uint64) << np.uint64(self.low_bits)) | self.low_at(i)
 
-    def successor(self, values: np.ndarray) -> np.ndarray:
-        """Places of the first value not below each of ``values`` (``count`` if there is none)."""
-        values = values.astype(np.uint64)
+    def _bucket(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places [low, high) of the entries whose high part is that of each value."""
         top = (values >> np.uint64(self.low_bits)).astype(np.int64)
         last = len(self.high) * 64 - self.count - 1  # zeros, less one
-        inside = top <= last
-        top = np.minimum(top, last)
-        low = np.where(top > 0, self._select(np.maximum(top - 1, 0), False) - (top - 1), 0)
-        high = self._select(top, False) - top
+        inside, top = top <= last, np.minimum(top, last)
+        bit = np.where(top > 0, self._select(np.maximum(top - 1, 0), False) + 1, 0)
+        low = bit - top
+        # the run of ones from there: to the end of its word at once, further by search
+        room = 64 - (bit & 63)
+        zeros = ~(self.high[np.minimum(bit >> 6, len(self.high) - 1)] >> (bit & 63).astype(np.uint64))
+        run = np.bitwise_count((zeros & (~zeros + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        high = low + run
+        long = np.flatnonzero(run >= room)
+        high[long] = self._select(top[long], False) - top[long]
+        return np.where(inside, low, self.count), np.where(inside, high, self.count)
+
+    def _search(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the first value not below each of ``values``, and where their bucket ends."""
         target = values & np.uint64((1 << self.low_bits) - 1)
-        low, high = np.where(inside, low, self.count), np.where(inside, high, self.count)
+        low, end = self._bucket(values)
+        high = end.copy()
         going = np.flatnonzero(low < high)
         while len(going):
             middle = (low[going] + high[going]) >> 1
@@ -94,13 +104,18 @@ class EliasFano:
             low[going[less]] = middle[less] + 1
             high[going[~less]] = middle[~less]
             going = going[low[going] < high[going]]
-        return low
+        return low, end
+
+    def successor(self, values: np.ndarray) -> np.ndarray:
+        """Places of the first value not below each of ``values`` (``count`` if there is none)."""
+        return self._search(values.astype(np.uint64))[0]
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """Places of ``values``, -1 where they don't occur."""
-        at = self.successor(values)
-        there = np.flatnonzero(at < self.count)
-        equal = self.access(at[there]) == values[there].astype(np.uint64)
+        values = values.astype(np.uint64)
+        at, end = self._search(values)
+        there = np.flatnonzero(at < end)
+        equal = self.low_at(at[there]) == (values[there] & np.uint64((1 << self.low_bits) - 1))
         out = np.full(len(values), -1, np.int64)
         out[there[equal]] = at[there[equal]]
         return out

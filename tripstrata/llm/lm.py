@@ -35,7 +35,7 @@ from .words import LOWER, NOT_SPACE, hashes, mixed, spans, text_slices
 #: Hash of the token that ends every text.
 END = np.uint64(0x00E0D0F0E0D0F0E1)
 #: Entries of counts that a task holds before it packs them.
-BUFFERED = 2_000_000
+BUFFERED = 1_500_000
 #: N-grams in one file of a level, about.
 SHARD = 4_000_000
 #: Steps of a quantised logarithm: log10 from -16 to 0.
@@ -115,22 +115,22 @@ class OpenLevel:
         self.starts = np.array(starts, np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """Places of ``keys`` in the whole level, -1 where absent."""
+        """Places of sorted ``keys`` in the whole level, -1 where absent."""
         keys, out = keys.astype(np.uint64), np.full(len(keys), -1, np.int64)
-        file = np.searchsorted(self.keys, keys, "right") - 1
-        for k in np.unique(file[file >= 0]):
-            mine = np.flatnonzero(file == k)
+        cuts = np.append(np.searchsorted(keys, self.keys), len(keys))
+        for k in np.flatnonzero(np.diff(cuts)):
+            mine = slice(cuts[k], cuts[k + 1])
             at = self.sequences[k].find(keys[mine] - self.keys[k])
             out[mine] = np.where(at >= 0, at + self.offsets[k], -1)
         return out
 
     def _each(self, places: np.ndarray, files: dict, read: Callable, out: np.ndarray) -> np.ndarray:
-        file = np.searchsorted(self.offsets, places, "right") - 1
-        for k in np.unique(file):
+        distinct, which = np.unique(places, return_inverse=True)
+        cuts, found = np.searchsorted(distinct, self.offsets), np.zeros(len(distinct), out.dtype)
+        for k in np.flatnonzero(np.diff(cuts)):
             if k in files:
-                mine = np.flatnonzero(file == k)
-                out[mine] = read(k, places[mine] - self.offsets[k])
-        return out
+                found[cuts[k] : cuts[k + 1]] = read(k, distinct[cuts[k] : cuts[k + 1]] - self.offsets[k])
+        return found[which]
 
     def values(self, name: str, places: np.ndarray) -> np.ndarray:
         kind = self.files[0][name].dtype if self.files else np.int64

@@ -209,7 +209,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
     if not large.isEmpty():
         links = links.union(_large_groups(large, settings, kind))
     label = components(links)
-    of_set = sets.select("name", "key").join(label, F.col("key") == F.col("node"), "left").select("name", F.coalesce("label", "key").alias("component_id"))
+    # staged, so that both sides of the join on the set's name are shuffled and Spark can split a set with many copies
+    of_set = staged(sets.select("name", "key").join(label, F.col("key") == F.col("node"), "left").select("name", F.coalesce("label", "key").alias("component_id")), "sets")
     alone = rows.filter("n = 0 or key is null").select("key", "n", F.col("key").alias("component_id"))
     linked = full.join(of_set, "name").select("key", "n", "component_id").union(alone)
     return linked.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("key") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -78,6 +78,13 @@ class PieceStore:
         step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
         return self.ids[np.repeat(first, count) + step], count
 
+    def id_counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
+        """How often each id occurs, from the distinct pieces and their numbers."""
+        first, count, which = self.lookup(data, starts, ends)
+        step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        times = np.repeat(np.bincount(which, minlength=len(first)), count)
+        return np.bincount(self.ids[np.repeat(first, count) + step], times, size).astype(np.int64)
+
     def counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         _, count, which = self.lookup(data, starts, ends)
         return count[which]

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from . import bpe
 from .scratch import new_path
+from .words import NOT_SPACE, spans, text_slices
 
 END_ID = 2
 #: A block closes after this many ids; a longer document has a block of its own.
@@ -69,8 +70,9 @@ def _frequencies(docs: DataFrame, text: str, file: str, end_id: int) -> np.ndarr
         total = np.zeros(size, np.int64)
         for batch in batches:
             total[end_id] += batch.num_rows
-            for _, _, ids, _ in bpe.encoded(batch.column(0), file):
-                total += np.bincount(ids, minlength=size)
+            for _, _, data, offsets in text_slices(batch.column(0)):
+                starts, ends, _ = spans(data, offsets, NOT_SPACE)
+                total += bpe.store(file).id_counts(data, starts, ends, size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"id": pa.array(seen, pa.int32()), "n": pa.array(total[seen], pa.int64())})
 

@@ -1,7 +1,7 @@
 """Elias-Fano coding of a non-decreasing sequence, with vectorised access and successor search.
 
 The low bits of each value are packed side by side.  The high bits are a bit string: a one for each value,
-preceded by a zero for each step of the high part.  Totals of ones before each block of 512 bits find the k-th zero or one.
+preceded by a zero for each step of the high part.  Totals of ones before each block of 256 bits find the k-th zero or one.
 All arrays are plain and can be memory-mapped.
 """
 
@@ -15,7 +15,7 @@ _ONES = np.array([[(b >> k & 1) for k in range(8)] for b in range(256)], np.uint
 _BEFORE = np.cumsum(_ONES, 1)  # ones up to and with bit k
 #: Place of the r-th one in a byte.
 _SELECT = np.array([[int(np.searchsorted(_BEFORE[b], r + 1)) for r in range(8)] for b in range(256)], np.int64)
-_WORDS = 8  # of 64 bits in a block
+_WORDS = 4  # of 64 bits in a block
 
 
 @dataclass
@@ -32,7 +32,7 @@ class EliasFano:
         values, n = values.astype(np.uint64), len(values)
         bits = max(0, (int(universe) // max(1, n)).bit_length() - 1)
         total = n + (int(universe) >> bits) + 2
-        flags = np.zeros(-(-total // 512) * 512, np.uint8)
+        flags = np.zeros(-(-total // (64 * _WORDS)) * 64 * _WORDS, np.uint8)
         flags[(values >> np.uint64(bits)).astype(np.int64) + np.arange(n)] = 1
         high = np.packbits(flags, bitorder="little").view(np.uint64)
         ones = np.concatenate(([0], np.cumsum(np.bitwise_count(high).reshape(-1, _WORDS).sum(1, dtype=np.int64))))
@@ -56,7 +56,7 @@ class EliasFano:
 
     def _select(self, k: np.ndarray, one: bool) -> np.ndarray:
         """Place of the k-th one or zero (from 0)."""
-        before = self.ones if one else np.arange(len(self.ones)) * 512 - self.ones
+        before = self.ones if one else np.arange(len(self.ones)) * (64 * _WORDS) - self.ones
         block = np.searchsorted(before, k, "right") - 1
         rest = k - before[block]
         words = self.high.reshape(-1, _WORDS)[block]
@@ -70,7 +70,7 @@ class EliasFano:
         within = np.cumsum(np.bitwise_count(eight), 1, dtype=np.int64)
         byte = (within <= rest[:, None]).sum(1)
         rest = rest - np.where(byte > 0, within[rows, byte - 1], 0)
-        return block * 512 + word * 64 + byte * 8 + _SELECT[eight[rows, byte], rest]
+        return block * (64 * _WORDS) + word * 64 + byte * 8 + _SELECT[eight[rows, byte], rest]
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """The values at places ``i``."""

@@ -36,6 +36,8 @@ from .words import LOWER, NOT_SPACE, hashes, mixed, spans, text_slices
 END = np.uint64(0x00E0D0F0E0D0F0E1)
 #: Entries of counts that a task holds before it packs them.
 BUFFERED = 1_500_000
+#: Bytes of text whose n-grams are looked up together; the more, the fewer distinct ones.
+SLICE = 3 << 20
 #: N-grams in one file of a level, about.
 SHARD = 4_000_000
 #: Steps of a quantised logarithm: log10 from -16 to 0.
@@ -80,7 +82,7 @@ def save(path: str, arrays: dict[str, np.ndarray]) -> None:
 def load(path: str) -> dict[str, np.ndarray]:
     """The arrays of a file, mapped into memory where the shared folder is mounted and read where it is not."""
     fs, name = pafs.FileSystem.from_uri(path)
-    data = np.memmap(name, np.uint8, "r") if fs.type_name == "local" else np.frombuffer(fs.open_input_file(name).read(), np.uint8)
+    data = np.memmap(name, np.uint8, "r").view(np.ndarray) if fs.type_name == "local" else np.frombuffer(fs.open_input_file(name).read(), np.uint8)
     size = int(data[:8].view(np.int64)[0])
     table = pa.ipc.open_stream(pa.py_buffer(data[8 : 8 + size].tobytes())).read_all().to_pydict()
     out, at = {}, 8 + size + -(8 + size) % 8
@@ -175,7 +177,7 @@ class Model:
 
 def token_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, end row, distinct hashes, index of each token among them, row of each token); every text ends in END."""
-    for row, end, data, offsets in text_slices(texts):
+    for row, end, data, offsets in text_slices(texts, SLICE):
         data = LOWER[data]
         starts, ends, before = spans(data, offsets, NOT_SPACE)
         keys = np.insert(hashes(data, starts, ends), before[1:], END)
@@ -439,7 +441,8 @@ def _scores(model: Model, texts: pa.Array) -> dict[str, np.ndarray]:
         out["n_known"].append(np.bincount(owner, (counts > 0)[which], size).astype(np.int64))
         out["base_score"].append(np.bincount(owner, np.log10(counts + 1.0)[which], size) - tokens * np.log10(float(model.tokens + model.words + 1)))
         log = np.log10(model.unigram(counts))[which]
-        places = _place_all(reader, ids[which], owner, len(model.levels))
+        often = model.settings.least[1] if len(model.levels) > 1 else 1  # a rarer word is in no pair and has no children
+        places = _place_all(reader, np.where(counts >= often, ids, -1)[which], owner, len(model.levels))
         for order in range(2, len(model.levels) + 1):
             context = np.full(len(log), -1, np.int64)
             context[1:] = np.where(owner[1:] == owner[:-1], places[order - 2][:-1], -1)

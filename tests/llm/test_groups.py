@@ -9,6 +9,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from corpus_rows import docs, none, rows  # noqa: F401
 
 import corpus_pipeline
 from tripstrata.llm import eliasfano, graph, lm, near, pagetext, quality, scratch, vectors

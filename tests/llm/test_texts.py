@@ -10,6 +10,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import pytest
+from corpus_rows import docs, none, rows  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -71,6 +72,19 @@ def test_smaller_budget_takes_a_subset(docs):
     assert not few - many
 
 
+def test_long_texts_are_handled_in_stretches(monkeypatch):
+    r = random.Random(1)
+    data = np.frombuffer(bytes(r.choice(b"ab  ") for _ in range(3000)), np.uint8)
+    starts, ends, _ = words.spans(data, np.array([0, len(data)]), words.NOT_SPACE)
+    whole = words.hashes(data, starts, ends)
+    monkeypatch.setattr(words, "SLICE_BYTES", 7)
+    assert (words.hashes(data, starts, ends) == whole).all()
+    monkeypatch.setattr(repeats, "STRETCH", 500)
+    once, cut = repeats.anchor_runs(data, np.array([0, len(data)]), 100), repeats._long_runs(data, 100)
+    each = lambda runs: [(p, a) for f, n, a in zip(runs[1], runs[2], runs[3]) for p in range(f, f + n)]
+    assert each(once) == each(cut)
+
+
 def brute_repeats(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = collections.Counter(b[p : p + length] for b in data for p in range(len(b) - length + 1))

@@ -9,8 +9,8 @@ by anchor and by content:
 * an anchor with several different segments is a group whose members are compared: the texts' parts to the right
   of the anchor are sorted as suffixes, likewise the reversed parts to the left, and the tree of common prefixes on
   the right, with neighbours in the order of the left, gives each member its longest matches around the anchor;
-* a group with more than ``MEMBERS`` different segments is not gathered: its strings are counted one by one by a
-  128-bit fingerprint, which Spark sums in tasks first.
+* a group with more than ``MEMBERS`` different segments is not gathered: Spark counts 128-bit digests of blocks of
+  its strings, and of single strings where a block is not yet decided.
 
 Sorting is deep-shallow: multikey quicksort on eight bytes at a time down to ``SHALLOW`` bytes, then a blind trie
 for suffixes that still agree, which have long common prefixes.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ SHALLOW = 64
 MEMBERS = 1000
 #: Bytes of text handled at a time; a position takes about 40 bytes of arrays.
 SLICE = 1 << 19
+#: A text longer than this is looked through in stretches.
+STRETCH = 1 << 21
 
 _KEYS = np.random.default_rng(400).integers(1, 2**64 - 1, 256, dtype=np.uint64)
 _FACTOR = 0x9E3779B97F4A7C15
@@ -74,6 +77,17 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.
     return np.searchsorted(offsets, first, "right") - 1, first, np.diff(np.append(at, len(starts))), place, grams[place]
 
 
+def _long_runs(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Runs of one very long text, from stretches that overlap by a string.  A run that a stretch cuts in two is
+    two runs: a string's anchor depends on its own bytes only."""
+    parts = []
+    for a in range(0, len(data) - length + 1, STRETCH):
+        stretch = data[a : a + STRETCH + length - 1]
+        text, first, starts, place, gram = anchor_runs(stretch, np.array([0, len(stretch)]), length)
+        parts.append((text, first + a, starts, place + a, gram))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def common_prefix(a: bytes, b: bytes, start: int = 0) -> int:
     """Length of the longest common prefix of two strings that agree on ``start`` bytes."""
     end = min(len(a), len(b))
@@ -184,7 +198,7 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             k1, k2 = (batch.column(n).to_numpy() for n in ("k1", "k2"))
             for row, _, data, offsets in text_slices(batch.column("text"), SLICE):
-                text, first, starts, place, gram = anchor_runs(data, offsets, length)
+                text, first, starts, place, gram = anchor_runs(data, offsets, length) if len(data) <= STRETCH else _long_runs(data, length)
                 raw = data.tobytes()
                 names = np.fromiter(
                     (xxhash.xxh3_64_intdigest(raw[a:b], seed=c) for a, b, c in zip(first.tolist(), (first + starts + length - 1).tolist(), (place - first).tolist())), np.uint64, len(first)
@@ -262,19 +276,68 @@ def _compared(segments: DataFrame, length: int) -> DataFrame:
     return segments.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, SPANS)
 
 
-def _counted(segments: DataFrame, length: int) -> DataFrame:
-    """Spans of single strings that occur again, for anchors with too many different segments to gather."""
+_TESTS = "k1 long, k2 long, gram long, name long, low long, high long, block int, repeated boolean, core binary, whole binary"
+
+
+def _block_tests(frame: DataFrame, length: int, size: int) -> DataFrame:
+    """For blocks of ``size`` neighbouring strings of a segment: ``core``, a digest of the bytes that all of them
+    hold, and ``whole``, of the bytes that any holds (null at the segment's ends).  Blocks count by the distance
+    from a string's start to the anchor, so equal strings lie in equal blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k1, k2, first, starts, data, repeated in zip(*(batch.column(n).to_pylist() for n in ("k1", "k2", "first", "starts", "data", "repeated"))):
-                digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(data[p : p + length]) for p in range(starts)), np.int64)
-                columns = (np.full(starts, k1), np.full(starts, k2), first + np.arange(starts), digests[::2], digests[1::2])
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array([repeated] * starts)], names=["k1", "k2", "low", "f1", "f2", "repeated"])
-
-    strings = staged(segments.mapInArrow(run, "k1 long, k2 long, low long, f1 long, f2 long, repeated boolean"), "strings")
-    again = strings.groupBy("f1", "f2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    return strings.filter("not repeated").join(again, ["f1", "f2"]).select("k1", "k2", "low", (F.col("low") + length).alias("high"))
+            out = []
+            names = ("k1", "k2", "gram", "name", "first", "starts", "place", "data", "repeated", "blocks")
+            for k1, k2, gram, name, first, starts, place, data, repeated, blocks in zip(*(batch.column(n).to_pylist() for n in names)):
+                near, far = place - starts + 1, place  # distances of the last and the first start
+                asked = [(b, repeated) for b in range(near // size, far // size + 1)] if blocks is None else [(x["block"], x["repeated"]) for x in blocks]
+                for block, resolved in asked:
+                    low, high = block * size, block * size + size - 1
+                    tag = block.to_bytes(4, "little") + gram.to_bytes(8, "little", signed=True)
+                    core = xxhash.xxh3_128_digest(tag + data[place - low : place - high + length])
+                    inside = near <= low and high <= far
+                    whole = xxhash.xxh3_128_digest(tag + data[place - high : place - low + length]) if inside else None
+                    out.append((k1, k2, gram, name, first + place - min(high, far), first + place - max(low, near) + length, block, resolved, core, whole))
+            columns = list(zip(*out)) or [[]] * 10
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _TEST_KINDS)], names=[x.split()[0] for x in _TESTS.split(", ")])
+
+    return frame.mapInArrow(run, _TESTS)
+
+
+_TEST_KINDS = (pa.int64(),) * 6 + (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+#: Strings of a segment that are tested together, from level to level.
+BLOCKS = (32, 8, 1)
+
+
+def _counted(segments: DataFrame, length: int) -> DataFrame:
+    """Spans of strings that occur again, for anchors with too many different segments to gather.
+
+    Digests of blocks of strings are counted.  A block whose core is unique holds no repeat; one that occurs again
+    as a whole is a repeat throughout; others are cut into smaller blocks, down to single strings.  Of equal
+    blocks one goes on, for others to be compared with.
+    """
+    found, asked = [], segments.withColumn("blocks", F.lit(None).cast("array<struct<block:int,repeated:boolean>>"))
+    for size, finer in zip(BLOCKS, (*BLOCKS[1:], None)):
+        tests = staged(_block_tests(asked, length, size), "blocks")
+        counts = lambda name: staged(tests.filter(f"{name} is not null").groupBy(name).agg(F.count("*").alias("n")).filter("n > 1").select(name), name)  # noqa: B023, E731
+        live = tests.join(counts("core"), "core", "left_semi")
+        if finer is None:
+            return reduce(DataFrame.union, [*found, live.filter("not repeated").select("k1", "k2", "low", "high")])
+        again = counts("whole").withColumn("again", F.lit(True))
+        live = staged(live.join(again, "whole", "left"), "live")
+        found.append(live.filter("again and not repeated").select("k1", "k2", "low", "high"))
+        one = live.filter("again").groupBy("whole").agg(F.min(F.struct("gram", "name", "block")).alias("one")).select("one.*", F.lit(True).alias("repeated"))
+        left = live.filter("again is null").select("gram", "name", "block", "repeated").union(one)
+        cut = left.withColumn("block", F.explode(F.sequence(F.col("block") * (size // finer), (F.col("block") + 1) * (size // finer) - 1)))
+        listed = cut.groupBy("gram", "name").agg(F.collect_list(F.struct("block", "repeated")).alias("blocks"))
+        asked = _inside(segments.join(listed, ["gram", "name"]), finer)
+    return found[0]
+
+
+def _inside(asked: DataFrame, size: int) -> DataFrame:
+    """Without blocks that hold none of a segment's strings."""
+    near, far = F.col("place") - F.col("starts") + 1, F.col("place")
+    return asked.withColumn("blocks", F.filter("blocks", lambda x: ((x["block"] + 1) * size > near) & (x["block"] * size <= far)))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, members: int = MEMBERS) -> DataFrame:

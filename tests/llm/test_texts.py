@@ -14,7 +14,7 @@ from corpus_rows import docs, none, rows  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tripstrata.llm import bpe, counts, leaks, mixing, repeats, tokenstore, words
+from tripstrata.llm import bpe, counts, leaks, mixing, prefixes, repeats, tokenstore, words
 
 SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -152,6 +152,38 @@ def test_counts_and_every_prefix(docs, rows):
             assert by_prefix[table.fit(budget)] <= budget
 
 
+PARTS = ["a", "b", "th", "ing", "tion", "'", "'re", "'ll", "'s", "'v", "r", "17", "!", "..", "e\u0301", "\u0323", "日本", "İ", "ſ", "\u00a0", "<|endoftext|>", "<|end", "|>", "\u1112\u1161\u11ab", "\x01", "😀"]
+
+
+@given(st.lists(st.sampled_from(PARTS), min_size=1, max_size=9).map("".join))
+@settings(max_examples=300, deadline=None)
+def test_recurrence_counts_every_beginning_as_the_library_does(piece):
+    expected = [len(e.ids) for e in bpe.load(bpe.path()).encode_batch_fast([piece[:i] for i in range(1, len(piece) + 1)], add_special_tokens=False)]
+    assert prefixes.Recurrence.table(prefixes.recurrence(bpe.path()), piece) == expected
+
+
+def test_stored_tables_answer_without_the_tokenizer(spark, monkeypatch):
+    text = "It's <|endoftext|>x cafe\u0301 re'vel'd " + "ab" * 3000 + " end. "
+    encode = lambda t: len(bpe.load(bpe.path()).encode(t, add_special_tokens=False).ids)
+    expected = {i: encode(text[:i]) for i in [*range(60), *range(60, len(text) + 1, 397), len(text)]}
+    r = counts.prefix_counts(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    monkeypatch.setattr(bpe, "load", None)
+    monkeypatch.setattr(bpe, "encode_pieces", None)
+    table = counts.PrefixCounts(text, r["starts"], r["ends"], r["totals"], r["inside"], file="none")
+    assert {i: table.at(i) for i in expected} == expected
+    assert table.at(-1) == r["n_tokens"] and table.at(10**9) == r["n_tokens"] and table.fit(r["n_tokens"]) == len(text)
+    assert all(table.at(table.fit(budget)) <= budget for budget in range(r["n_tokens"]))
+
+
+def test_registered_counts_build_the_tables(monkeypatch):
+    data = np.frombuffer(b"alpha beta17 alpha", np.uint8)
+    starts, ends, _ = words.spans(data, np.array([0, len(data)]), words.NOT_SPACE)
+    store = prefixes.PrefixStore(bpe.path())
+    monkeypatch.setattr(bpe, "encode_pieces", None)
+    encode = lambda t: len(bpe.load(bpe.path()).encode(t, add_special_tokens=False).ids)
+    assert store.counts(data, starts, ends).tolist() == [encode("alpha"), encode("beta17"), encode("alpha")]
+
+
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=50))
 def test_variable_length_codes(ids):
     control, data = tokenstore.pack(np.array(ids, np.uint32))

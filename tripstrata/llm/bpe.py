@@ -71,6 +71,10 @@ class PieceStore:
         self.tables = [nothing, nothing]
         self.ids = np.zeros(0, np.int32)
 
+    def listed(self, pieces: list[str]) -> list[list[int]]:
+        """What is kept for each piece."""
+        return encode_pieces(self.tokenizer, pieces)
+
     def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces one after the other, number of ids of each piece)."""
         first, count, which = self.lookup(data, starts, ends)
@@ -104,7 +108,7 @@ class PieceStore:
         new = np.flatnonzero(count < 0)
         if len(new):
             raw = data.tobytes()
-            lists = encode_pieces(self.tokenizer, [raw[a:b].decode("utf-8") for a, b in zip(starts[example[new]].tolist(), ends[example[new]].tolist())])
+            lists = self.listed([raw[a:b].decode("utf-8") for a, b in zip(starts[example[new]].tolist(), ends[example[new]].tolist())])
             count[new] = np.fromiter(map(len, lists), np.int64, len(lists))
             first[new] = len(self.ids) + np.cumsum(count[new]) - count[new]
             self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(lists), np.int32, int(count[new].sum()))))

@@ -12,7 +12,7 @@ import pytest
 from corpus_rows import docs, none, rows  # noqa: F401
 
 import corpus_pipeline
-from tripstrata.llm import eliasfano, graph, lm, near, pagetext, quality, scratch, vectors
+from tripstrata.llm import eliasfano, graph, lm, near, pagetext, quality, queries, scratch, vectors
 
 SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -176,6 +176,24 @@ def test_language_model_against_brute_force(spark, docs, rows, monkeypatch):
         )
 
 
+def test_registered_language_model_keeps_pairs_and_triples_that_occur_once(spark, tmp_path):
+    texts = {i: f"w{i} x{i} y{i}" for i in range(30)}
+    held = next(i for i in texts if zlib.crc32(str(i).encode()) % 7 == 2)
+    seen = next(i for i in texts if zlib.crc32(str(i).encode()) % 7 != 2)
+    texts[held] = texts[seen]
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["score"] for r in queries.op9_language_model(spark, str(tmp_path)).collect()}
+    n = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in texts)  # texts trained on: n ends and 3 n other words
+    word, end = 0.25 / (4 * n), (n - 0.75) / (4 * n)
+    rest = 0.75 * (3 * n + 1) / (3 * n + 2) / (4 * n)
+    back = lambda low: 0.25 + 0.75 * low
+    first, second, last = word + rest, back(word + rest), back(end + rest)
+    expected = sum(map(math.log10, (first, second, back(second), back(last))))
+    assert got[held] == pytest.approx(expected, abs=2e-3) and got[held] == got[seen]
+    assert got[held] > {r["doc_id"]: r["score"] for r in lm.lm_report(frame).collect()}[held] + 1
+
+
 def test_language_model_of_nothing(spark, none):
     assert lm.lm_report(none).isEmpty()
     only_held_out = spark.createDataFrame([(i, "a b") for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2], "doc_id long, text string")

@@ -44,7 +44,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.lm_report(table(spark, sf_dir, "documents"))
+    return lm.lm_report(table(spark, sf_dir, "documents"), settings=lm.Settings(least=(1, 1, 1)))  # every pair and triple
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

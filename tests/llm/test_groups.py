@@ -61,6 +61,16 @@ def test_near_duplicates_against_brute_force(docs, rows, options):
     assert collections.Counter(r["doc_id"] for r in kept.collect()) == collections.Counter(r[0] for r in rows if r[0] is None or components[r[0]] == r[0])
 
 
+@pytest.mark.parametrize("options", [{}, {"block": 2, "hubs": 1}])
+def test_a_key_with_another_row_without_words_links_by_its_text(spark, options):
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = [(i, f"{text} end{i}") for i in range(6)] + [(i, t) for i in (0, 3, 5) for t in (None, "", " \t")]
+    for order in (rows, rows[::-1]):
+        got = near.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").coalesce(1), settings=near.Settings(**options)).collect()
+        assert sorted((r["doc_id"], r["component_id"]) for r in got if r["n_shingles"]) == [(i, 0) for i in range(6)]
+        assert len(got) == len(rows)
+
+
 def test_chain_of_near_copies_is_one_component_in_blocks(spark):
     """Neighbours of the chain are links, its ends are not: hubs must go on until nothing is left."""
     words = [f"w{i}" for i in range(300)]

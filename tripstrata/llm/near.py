@@ -126,8 +126,10 @@ class Forest:
 def _solved(rows: list[tuple[object, str, bool]], settings: Settings) -> Forest:
     """``rows`` of a block: (key, text, is a hub from elsewhere).  Without hubs all are compared with all."""
     sets = list(shingle_sets(pa.array([t for _, t, _ in rows], pa.large_string()), settings.shingle))
-    own = [i for i, r in enumerate(rows) if not r[2]]
-    hubs = [i for i, r in enumerate(rows) if r[2]] or own
+    own = [i for i, r in enumerate(rows) if not r[2] and len(sets[i])]  # a key can have another row, without words
+    hubs = [i for i, r in enumerate(rows) if r[2] and len(sets[i])] if any(r[2] for r in rows) else own
+    if not own:
+        return Forest()
     links, forest = Links([sets[i] for i in own], settings), Forest()
     for i in own:
         forest.root(rows[i][0])

@@ -202,6 +202,16 @@ def test_token_files_hold_the_ids_in_order(spark, docs, rows, tmp_path, monkeypa
     assert [r["start"] for r in got] == np.concatenate(([0], np.cumsum([r["n_tokens"] for r in got])))[:-1].tolist()
 
 
+def test_null_keys_are_spread_over_files(spark, tmp_path):
+    rows = [(None, f"null {i}") for i in range(60)] + [(i, f"text {i}") for i in range(60)] + [(-(2**63), "lowest")]
+    table = tokenstore.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "tokens"), file_documents=10)
+    stored = spark.read.parquet(str(tmp_path / "tokens")).selectExpr("file", "explode(keys) as key").collect()
+    most = max(collections.Counter(r["file"] for r in stored if r["key"] is None).values())
+    assert len(stored) == len(rows) and most <= 25
+    got = sorted(tokenstore.read_tokens(spark, table).collect(), key=lambda r: r["start"])
+    assert [r["key"] for r in got] == [None] * 60 + [-(2**63)] + list(range(60))
+
+
 def brute_leaks(rows, items):
     tokens = lambda s: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), s or ""))
     for i, text in rows:

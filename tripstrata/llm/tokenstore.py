@@ -86,7 +86,7 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     """Encode every text, append ``end_id``, and write the files in ascending key order, null keys first.
 
     Two scans of the texts: one counts ids, one encodes.  What is shuffled is coded already.  Files are cut at
-    quantiles of the key; a key that holds more than a file's documents is spread over its files by hash.
+    quantiles of the key; a key that holds more than a file's documents, null too, is spread over its files by hash.
     """
     file = file or bpe.path()
     by_rank = _frequencies(docs, text, file, end_id)
@@ -96,7 +96,8 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     rows = docs.select(F.col(key).cast("long").alias("key"))
     count = rows.count()
     files = max(1, -(-count // file_documents), min(count // 500, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    cuts = rows.select(F.percentile_approx("key", [i / files for i in range(1, files)], 10 * files)).first()[0] if files > 1 else None
+    lowest = np.iinfo(np.int64).min  # in place of null keys, which take their share of the cuts
+    cuts = rows.select(F.percentile_approx(F.coalesce("key", F.lit(int(lowest))), [i / files for i in range(1, files)], 10 * files)).first()[0] if files > 1 else None
     cuts = np.array(cuts or [], np.int64)
     shipped = spark.sparkContext.broadcast((rank_of, cuts))  # the vocabulary, and a key a file
 
@@ -105,8 +106,9 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
         for batch in batches:
             for row, end, ids, count in bpe.encoded(batch.column("text"), file):
                 keys = batch.column("key").slice(row, end - row)
-                numbers = pc.fill_null(keys, np.iinfo(np.int64).min).to_numpy()
+                numbers = pc.fill_null(keys, lowest).to_numpy()
                 low, high = np.searchsorted(cuts, numbers, "left"), np.searchsorted(cuts, numbers, "right")
+                low = np.where((numbers == lowest) & pc.is_valid(keys).to_numpy(zero_copy_only=False), high, low)  # behind all null keys
                 ranks, first = rank_of[ids], np.concatenate(([0], np.cumsum(count)))
                 parts = [np.append(ranks[a:b], rank_of[end_id]) for a, b in zip(first, first[1:])]
                 coded = [pack(p) for p in parts]

@@ -107,6 +107,15 @@ def test_repeats_against_brute_force(spark, docs, rows, members):
     assert ordered(pairs(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == ordered(expected)
 
 
+def test_rows_that_share_a_name_give_each_span_once(spark):
+    text = " ".join(f"word{i}" for i in range(200))
+    docs = spark.createDataFrame([(None, text)] * 30 + [(1, "x" + text)], "doc_id long, text string")
+    for r in repeats.named_spans(repeats.keyed(docs, "doc_id", "text"), 200).collect():
+        assert len(r["spans"]) == len(set(r["spans"]))
+    got = pairs(repeats.repeat_report(docs), "doc_id", "n_bytes", "n_removed")
+    assert ordered(got) == ordered([(None, len(text), len(text))] * 30 + [(1, len(text) + 1, len(text))])
+
+
 @given(st.lists(st.binary(max_size=40).map(lambda b: bytes(x % 3 for x in b)), max_size=30), st.sampled_from([0, 8, 16]))
 @settings(max_examples=100, deadline=None)
 def test_deep_shallow_order(suffixes, shallow):

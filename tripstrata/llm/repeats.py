@@ -353,7 +353,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, members: int = MEMBERS
     chosen = several.filter("repeated").groupBy("gram", "name").agg(one.alias("one")).select("gram", "name", "one.*", F.lit(True).alias("repeated"))
     needed = several.filter("not repeated").select("gram", "name", "k1", "k2", "first", "starts", "place", "variants", "repeated").unionByName(chosen)
     cuts = needed.groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "name", "first", "starts", "place", "variants", "repeated")).alias("cuts"))
-    segments = staged(_cut(_packed(docs, "k1", "k2").join(cuts, ["k1", "k2"]), length), "segments")
+    # rows that share a name are cut once: their common strings are known to be repeated
+    segments = staged(_cut(_packed(docs, "k1", "k2").dropDuplicates(["k1", "k2"]).join(cuts, ["k1", "k2"]), length), "segments")
     found = _compared(segments.filter(F.col("variants") <= members), length)
     many = segments.filter(F.col("variants") > members)
     if not many.isEmpty():
@@ -361,6 +362,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, members: int = MEMBERS
     return whole.union(found)
 
 
+def named_spans(docs: DataFrame, length: int = LENGTH, members: int = MEMBERS) -> DataFrame:
+    """(k1, k2, spans): each span once, however many rows share the name."""
+    return repeated_spans(docs, length, members).distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+
+
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(k1, k2, key, text): hashes of key and text together name a row; rows equal in both share a result."""
     filled = F.coalesce(F.col(text), F.lit(""))
@@ -375,7 +381,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     copies of each other; an empty table gives none.
     """
     rows = keyed(docs, key, text)
-    spans = repeated_spans(rows, length, members).groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    spans = named_spans(rows, length, members)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress

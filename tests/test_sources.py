@@ -3,6 +3,7 @@
 import datetime as dt
 import gzip
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +132,16 @@ def test_partition_values(spark):
     assert tuple(got) == ("2024-05-17 13:00:00", "2024-05-17", "2024-05-01", "2024-01-01", "2024-05-17 13:45:10")
 
 
+def test_files_of_a_table_are_listed_one_by_one(spark, tmp_path):
+    """The query ``file_listing`` sums all rows; here each file's line is held against the file."""
+    path = str(tmp_path / "events.parquet")
+    for rows in (3, 5, 11):
+        spark.range(rows).coalesce(1).write.mode("append").parquet(path)
+    stored = {f.name: (f.stat().st_size, pq.read_metadata(f).num_rows) for f in (tmp_path / "events.parquet").glob("*.parquet")}
+    listed = {r["file_path"].rpartition("/")[2]: (r["bytes"], r["rows"]) for r in L.list_files(spark.read.parquet(path)).collect()}
+    assert listed == stored and sorted(n for _, n in listed.values()) == [3, 5, 11]
+
+
 def test_inventory_and_manifest(spark, tmp_path, make_trips):
     path, rows = str(tmp_path / "silver"), L.with_partition(make_trips({}, {}), "pickup_datetime", "day", "pickup_date")
     W.write_parquet(rows, path, partition_by=["pickup_date"])

@@ -1,15 +1,20 @@
 """Ranks, rolling averages and top-n over aggregated tables.
 
-Windows here run on gold rows (one per hour or zone), never on trips.  Ties
-are broken by the key ascending, so ranks are the same on every run.
+Windows here run on gold rows (one per hour or zone), never on trips, and are
+cut by day or hour; ranks over a whole table come from ranges and their counts.
+Ties are broken by the key ascending, so ranks are the same on every run.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as X
+from ..sources.scratch import staged
 
 # Peak-hour depth, rolling depth and revenue tiers.
 PEAK_HOURS = 3
@@ -18,6 +23,14 @@ REVENUE_TIERS = ((10, "top_10"), (50, "top_50"), (100, "top_100"))
 REVENUE_TIER_DEFAULT = "other"
 
 
+def free_name(taken: Iterable[str], name: str) -> str:
+    """``name``, with as many underscores behind it as make it none of ``taken``, whatever the case of letters."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def rank_hours(hourly: DataFrame) -> DataFrame:
     """Rank the hours of each day and add the same-hour rolling average.
 
@@ -37,33 +50,61 @@ def rank_hours(hourly: DataFrame) -> DataFrame:
     )
 
 
-def rank_zones(stats: DataFrame) -> DataFrame:
-    """Rank zones against each other and add revenue percentile and tier.
+def with_position(rows: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """``rows`` with their place in the total order of ``order``, from 0, as column ``name``.
 
-    These windows have no partition, so one task sees all rows: the input is
-    one row per pickup zone of a fixed zone list (265), whatever the number of
-    trips.  Do not call it on anything that grows with the data.
+    Rows are cut into ranges and sorted inside each, which needs no window and puts no more than a range into a
+    task, also when many share the first column of the order.  A row's number inside its range and the rows of
+    the ranges before make its place.  The sorted rows are staged, because ranges come from a sample: a second
+    reading must see the same ones.  The driver sees one count a range.  Rows that are equal in all of ``order``
+    stand side by side in any order.
     """
-    everything, zone = Window.partitionBy(), F.col("location_id")
+    names = set(rows.columns)
+    at, part, before = (free_name(names, n) for n in ("_at", "_part", "_before"))
+    in_order = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
+    kept = staged(in_order, "in-order")
+    # the id holds the number of the range above 33 bits and the row's number in it below
+    inside = F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    kept = kept.withColumn(part, F.shiftright(at, 33))
+    counts = sorted((r[part], r["n"]) for r in kept.groupBy(part).agg(F.count("*").alias("n")).collect())
+    starts = list(accumulate((n for _, n in counts), initial=0))
+    places = rows.sparkSession.createDataFrame([(p, s) for (p, _), s in zip(counts, starts)], f"{part} long, {before} long")
+    return kept.join(places, part).withColumn(name, F.col(before) + inside).drop(at, part, before)
 
-    def position(metric: str) -> Column:
-        return F.row_number().over(everything.orderBy(F.desc(metric), zone))
 
-    percentile = F.percent_rank().over(everything.orderBy("total_revenue")) * 100
+def rank_zones(stats: DataFrame) -> DataFrame:
+    """Rank zones against each other and add revenue percentile and tier.
+
+    One row per ``location_id``, which may be NULL once.  Ties go to the smaller zone, NULL first.  The three
+    orders are one sort by ranges, a row per zone and order, so no task sees all zones.
+    """
+    metrics = {"revenue_rank": "total_revenue", "volume_rank": "trip_count", "avg_fare_rank": "avg_fare"}
+    zone, columns = F.col("location_id"), F.struct(*stats.columns)
+    orders = [
+        F.struct(F.lit(k).alias("k"), F.col(m).cast("double").alias("value"), F.when(F.lit(k == 0), columns).alias("zone_row"))
+        for k, m in enumerate(metrics.values())
+    ]
+    long = stats.select("location_id", F.inline(F.array(*orders)))
+    placed = with_position(long, [F.col("k"), F.desc("value"), zone], "place")
+    by_zone = placed.groupBy("location_id").agg(
+        F.first("zone_row", ignorenulls=True).alias("zone_row"),
+        *[F.max(F.when(F.col("k") == k, F.col("place"))).alias(name) for k, name in enumerate(metrics)],
+    )
+    # zones that earn as much as this one or more: the last place of those that earn the same
+    same = placed.filter("k = 0").groupBy(F.col("value").alias("same_value")).agg((F.max("place") + 1).alias("at_least"))
+    zones = placed.filter("k = 0").agg(F.count("*").alias("n")).scalar()
     rank = F.col("revenue_rank")
     tier = F.coalesce(
         *[F.when(rank <= limit, F.lit(label)) for limit, label in REVENUE_TIERS],
         F.lit(REVENUE_TIER_DEFAULT),
     )
-    ranked = stats.withColumns(
-        {
-            "revenue_rank": position("total_revenue"),
-            "volume_rank": position("trip_count"),
-            "avg_fare_rank": position("avg_fare"),
-            "revenue_percentile": X.round_half_up(percentile, 1),
-        }
-    )
-    return ranked.withColumn("revenue_tier", tier)
+    counted = by_zone.withColumn("zones", zones).join(same, F.col("zone_row.total_revenue").eqNullSafe(F.col("same_value")))
+    behind = F.when(F.col("zones") > 1, (F.col("zones") - F.col("at_least")) / (F.col("zones") - 1)).otherwise(F.lit(0.0))
+    return counted.select(
+        "zone_row.*",
+        *[(F.col(name) - k * F.col("zones") + 1).cast("int").alias(name) for k, name in enumerate(metrics)],
+        X.round_half_up(behind * 100, 1).alias("revenue_percentile"),
+    ).withColumn("revenue_tier", tier)
 
 
 def top_n(rows: DataFrame, order: Column | str, n: int, tiebreak: list[str]) -> DataFrame:

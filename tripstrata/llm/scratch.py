@@ -1,34 +1,7 @@
-"""Intermediate tables in the folder that driver and executors share."""
+"""Intermediate tables of the operators: the library's shared scratch folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from ..sources.scratch import new_path, shared_folder, staged
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session.  Where it is unset, a local session gets a folder of its own;
-    on a cluster a local folder would be invisible to the other machines, so that is an error."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="tripstrata-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/tripstrata/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
-def staged(frame: DataFrame, name: str) -> DataFrame:
-    """``frame`` written as Parquet to the shared folder and read again: lineage ends here, and the rows
-    outlive any executor.  The folder goes with the application's scratch data; queries that were returned
-    may still read it, so nothing is deleted here."""
-    spark = frame.sparkSession
-    path = new_path(spark, name)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+__all__ = ["new_path", "shared_folder", "staged"]

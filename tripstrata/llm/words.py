@@ -1,17 +1,17 @@
 """Words of whole texts as numpy arrays: one pass over the bytes, no Python object per word.
 
 Separators are ASCII, so UTF-8 can be split and lower-cased byte by byte.  Words are named by a 64-bit hash of
-their bytes; two different words share one with a probability of about 2**-64.
+their bytes.  Words of the same length of up to eight bytes never share one; for two others, not made against it, the probability is about 2**-64.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Texts are handled in slices of about this many bytes (a longer text alone), which bounds a worker's memory.
 SLICE_BYTES = 1 << 20
@@ -23,9 +23,10 @@ NOT_SPACE = ~((_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)))
 LETTERS_DIGITS = ((_BYTES >= 0x30) & (_BYTES <= 0x39)) | ((_BYTES >= 0x61) & (_BYTES <= 0x7A)) | (_BYTES >= 0x80)
 LOWER = np.where((_BYTES >= 0x41) & (_BYTES <= 0x5A), _BYTES + 32, _BYTES).astype(np.uint8)
 
-_STEP = np.uint64(0x9E3779B97F4A7C15 | 5)
-_STEP_INVERSE = np.uint64(pow(int(_STEP), -1, 1 << 64))
-_BYTE_KEYS = np.random.default_rng(20240229).integers(1, 2**64 - 1, 256, dtype=np.uint64)
+#: Words up to this many bytes are hashed as a column of eight-byte pieces, longer ones one by one.
+SHORT = 64
+_PIECES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -37,18 +38,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-@lru_cache(maxsize=1)
-def _powers_up_to(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(size, _STEP), np.full(size, _STEP_INVERSE)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash's step and of its inverse; rounded up, so that most slices share one pair."""
-    return _powers_up_to(max(2 * SLICE_BYTES, 1 << int(size).bit_length()))
-
-
 def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows with about ``limit`` bytes; null is empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -81,18 +70,20 @@ def spans(data: np.ndarray, offsets: np.ndarray, wordlike: np.ndarray) -> tuple[
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span's bytes, wherever it stands.  Spans are in order and apart; a long text is
-    hashed in stretches, so that arrays of eight bytes a byte stay short."""
-    out, row = np.zeros(len(starts), np.uint64), 0
-    while row < len(starts):
-        end = max(row + 1, int(np.searchsorted(ends, starts[row] + SLICE_BYTES, "right")))
-        low = int(starts[row])
-        part, first, last = data[low : ends[end - 1]], starts[row:end] - low, ends[row:end] - low
-        up, down = powers(len(part))
-        total = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_BYTE_KEYS[part] * up[: len(part)], out=total[1:])
-        out[row:end] = mixed((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64))
-        row = end
+    """A 64-bit hash of each span's bytes, wherever it stands: its pieces of eight bytes, mixed in one after the other."""
+    data = np.append(data, np.zeros(8, np.uint8))
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # the piece that begins at each byte
+    size = ends - starts
+    out = mixed(size.astype(np.uint64) * _STEP + np.uint64(1))
+    rows = np.flatnonzero((size > 0) & (size <= SHORT))
+    for at in range(0, SHORT, 8):
+        rows = rows[size[rows] > at]
+        if not len(rows):
+            break
+        piece = eight[starts[rows] + at] & _PIECES[np.minimum(size[rows] - at, 8)]
+        out[rows] = mixed((out[rows] ^ piece) * np.uint64(0x2545F4914F6CDD1D))
+    for k in np.flatnonzero(size > SHORT):
+        out[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]])
     return out
 
 

@@ -34,4 +34,48 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLES = {"op1_mixing": OP1}
+#: CRC-32 of distinct words: a list of the 256 table entries, made by eight rounds each, folded over the bytes.
+OP11 = r"""
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS entries FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i)
+  )
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), dw AS (
+  SELECT r, unnest(words) AS word FROM d
+), tw AS (
+  SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark
+), spelled AS (
+  SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM tw)
+), placed AS (
+  SELECT word, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(1, len(h), 2), lambda p: ('0x' || substr(h, p, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 10000 AS bucket
+  FROM spelled, crc
+), s AS (
+  SELECT bucket, count(*) AS n FROM dw JOIN placed USING (word) GROUP BY bucket
+), t AS (
+  SELECT bucket, count(*) AS n FROM tw JOIN placed USING (word) GROUP BY bucket
+), gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+         / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)
+), w AS (
+  SELECT r, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM dw JOIN placed USING (word) JOIN gain USING (bucket) GROUP BY r
+), scored AS (
+  SELECT d.r, doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+  FROM d LEFT JOIN w USING (r)
+), ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, weight DESC, n_features DESC) AS rank, 10 * count(*) OVER () // 100 AS draws
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= draws THEN rank END::BIGINT AS rank
+FROM scored LEFT JOIN ranked USING (r)
+"""
+
+ORACLES = {"op1_mixing": OP1, "op11_resampling": OP11}

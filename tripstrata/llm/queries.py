@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, leaks, lm, mixing, near, pagetext, quality, repeats, tokenstore, vectors
+from . import counts, leaks, lm, mixing, near, pagetext, quality, repeats, resampling, tokenstore, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,4 +51,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_repeats, op3_quality, op4_token_files, op5_main_text, op6_vector_links, op7_decontamination, op8_near_duplicates, op9_language_model, op10_token_counts)}
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_repeats, op3_quality, op4_token_files, op5_main_text, op6_vector_links, op7_decontamination, op8_near_duplicates, op9_language_model, op10_token_counts, op11_resampling)}

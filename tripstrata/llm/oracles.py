@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from .credentials import RULES
+
 OP1 = r"""
 WITH d AS (
   SELECT doc_id, source, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS place,
@@ -78,4 +80,34 @@ SELECT doc_id, n_features, weight, score, CASE WHEN rank <= draws THEN rank END:
 FROM scored LEFT JOIN ranked USING (r)
 """
 
-ORACLES = {"op1_mixing": OP1, "op11_resampling": OP11}
+
+def _secrets() -> str:
+    """A match starts behind the pieces of text between matches and the matches before it."""
+    pattern = "'{}'".format
+    found = " UNION ALL ".join(
+        f"""SELECT r, {k} AS k, '{rule.kind}' AS kind, {rule.least} AS least, {str(rule.base).lower()} AS base,
+                   unnest(string_split_regex(text, {(p := pattern(rule.pattern.replace("'", "''")))})) AS gap,
+                   unnest(regexp_extract_all(text, {p})) AS m, unnest(regexp_extract_all(text, {p}, {rule.group})) AS part,
+                   generate_subscripts(string_split_regex(text, {p}), 1) AS i
+            FROM d WHERE regexp_matches(text, {p})"""
+        for k, rule in enumerate(RULES)
+    )
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, text FROM documents
+), found AS ({found}), placed AS (
+  SELECT *, (sum(length(gap) + coalesce(length(m), 0)) OVER (PARTITION BY r, k ORDER BY i) - coalesce(length(m), 0))::BIGINT AS s FROM found
+), spans AS (
+  SELECT r, k, kind, base, s, concat_ws(':', kind, s, s + length(m)) AS span FROM placed WHERE m IS NOT NULL AND length(part) >= least
+), each AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(span, ',' ORDER BY s, k) FILTER (base) AS base, string_agg(span, ',' ORDER BY s, k) AS spans
+  FROM spans GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN each USING (r)
+"""
+
+
+ORACLES = {"op1_mixing": OP1, "op11_resampling": OP11, "op13_secrets": _secrets()}

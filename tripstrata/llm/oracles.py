@@ -110,4 +110,29 @@ FROM d LEFT JOIN each USING (r)
 """
 
 
-ORACLES = {"op1_mixing": OP1, "op11_resampling": OP11, "op13_secrets": _secrets()}
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), sizes AS (
+  SELECT count(*) AS documents, sum(len(terms))::BIGINT AS total FROM d WHERE len(terms) > 0
+), p AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * (SELECT documents FROM sizes) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p GROUP BY term
+), lengths AS (
+  SELECT r, doc_id, 100 - 50 + (50 * len(terms) * documents) // total AS m FROM d, sizes WHERE len(terms) > 0
+), scored AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN weights USING (term) JOIN lengths USING (r) GROUP BY item_id, r, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+ORACLES = {"op1_mixing": OP1, "op11_resampling": OP11, "op12_search": OP12, "op13_secrets": _secrets()}

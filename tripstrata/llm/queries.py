@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, credentials, leaks, lm, mixing, near, pagetext, quality, repeats, resampling, tokenstore, vectors
+from . import counts, credentials, leaks, lm, mixing, near, pagetext, quality, repeats, resampling, search, tokenstore, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,8 +55,12 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.secret_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_repeats, op3_quality, op4_token_files, op5_main_text, op6_vector_links, op7_decontamination, op8_near_duplicates, op9_language_model, op10_token_counts, op11_resampling, op13_secrets)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_repeats, op3_quality, op4_token_files, op5_main_text, op6_vector_links, op7_decontamination, op8_near_duplicates, op9_language_model, op10_token_counts, op11_resampling, op12_search, op13_secrets)}

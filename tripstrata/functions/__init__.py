@@ -17,4 +17,5 @@ from .features import (  # noqa: F401
     time_of_day,
     was_tipped,
 )
-from .numeric import clean_number, exact_avg, exact_sum, guarded_ratio, percent_of_rows, positive_ratio, round_half_up, safe_divide  # noqa: F401
+from .distinct import DistinctIds, first_of  # noqa: F401
+from .numeric import clean_number, exact_avg, exact_sum, guarded_ratio, joined_sum, percent_of_rows, positive_ratio, round_half_up, safe_divide, sum_parts  # noqa: F401

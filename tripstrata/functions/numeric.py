@@ -49,18 +49,52 @@ def safe_divide(numerator: ColumnLike, denominator: ColumnLike, default: float =
     )
 
 
-#: Sums count in ten-thousandths: exact for money, miles and two-decimal ratios, and good for 9e14 in total.
-SUM_SCALE = 10_000
+#: Sums are kept in whole numbers, so the order of rows cannot matter: thousands, ten-thousandths of what is left,
+#: and a rest in units of 1e-12, which is 0 for values of up to four decimals.
+SUM_BASE, SUM_SCALE, SUM_REST = 1_000, 10_000, 1e12
+#: Larger values, infinities and NaN are added up as doubles.
+SUM_HUGE = 1e18
 
 
-def exact_sum(value: ColumnLike) -> Column:
-    """Aggregate: sum as double, added up in whole ten-thousandths, so the order of rows cannot matter."""
-    return F.sum(F.round(as_column(value) * SUM_SCALE).try_cast("bigint")) / float(SUM_SCALE)
+def sum_parts(value: ColumnLike, bounded: bool = False, rounded: bool = False) -> dict[str, Column]:
+    """The numbers of a row whose sums make an exact sum, by name; see :func:`joined_sum`.
 
-
-def exact_avg(value: ColumnLike) -> Column:
+    ``bounded`` leaves out the parts for values far above 1000, for columns that rules keep small (there a value over
+    1e14 is an error).  ``rounded`` leaves out the rest, for columns that were rounded to four decimals or fewer.
+    """
+    number = as_column(value).cast("double")
+    parts, inner = {}, number
+    if not bounded:
+        usual = F.abs(number) < SUM_HUGE
+        known = F.when(usual, number).when(number.isNotNull(), F.lit(0.0))
+        parts["large"] = (known / SUM_BASE).cast("bigint")
+        parts["huge"] = F.when(~usual, number)
+        inner = known - parts["large"] * float(SUM_BASE)
+    parts["units"] = F.round(inner * SUM_SCALE).cast("bigint")
+    if not rounded:
+        parts["rest"] = F.round((inner - parts["units"] / SUM_SCALE) * SUM_REST).cast("bigint")
+    return parts
+
+
+def joined_sum(sums: dict[str, Column]) -> Column:
+    """The sum as double, from the sums of each part; NULL when there was no value."""
+    total = sums["units"] / float(SUM_SCALE)
+    if "rest" in sums:
+        total = total + sums["rest"] / SUM_REST
+    if "large" in sums:
+        total = sums["large"] * float(SUM_BASE) + total
+        total = F.when(sums["huge"].isNull(), total).otherwise(total + sums["huge"])
+    return total
+
+
+def exact_sum(value: ColumnLike, bounded: bool = False, rounded: bool = False) -> Column:
+    """Aggregate: sum as double, independent of the order of rows, of values of any size (see :func:`sum_parts`)."""
+    return joined_sum({name: F.sum(part) for name, part in sum_parts(value, bounded, rounded).items()})
+
+
+def exact_avg(value: ColumnLike, bounded: bool = False, rounded: bool = False) -> Column:
     """Aggregate: :func:`exact_sum` over the number of values."""
-    return exact_sum(value) / F.count(as_column(value))
+    return exact_sum(value, bounded, rounded) / F.count(as_column(value))
 
 
 def percent_of_rows(matching: Column, digits: int) -> Column:

@@ -42,59 +42,107 @@ def _weekday_columns(sunday: int) -> dict[str, Column]:
 #: Grouping columns; weekday name, weekend flag and day part are functions of them.
 DAILY_KEYS = ("pickup_date", "pickup_hour", "day_of_week")
 
+#: Summed columns, and what is known of them: bounded by the rules, rounded when they were computed.
+DAILY_SUMS = {
+    "total_amount": {},
+    "fare_amount": {"bounded": True},
+    "tip_amount": {},
+    "tip_pct": {"rounded": True},
+    "trip_distance": {"bounded": True},
+    "trip_duration_minutes": {"bounded": True},
+    "avg_speed_mph": {"bounded": True, "rounded": True},
+    "fare_per_mile": {"bounded": True, "rounded": True},
+    "revenue_per_minute": {"rounded": True},
+}
+
 
 def gold_daily_hourly(silver: DataFrame) -> DataFrame:
-    """Hourly KPIs: five keys, twenty measures.
+    """Hourly KPIs: five keys, twenty measures, from one reading of silver.
 
-    The two distinct counts are taken in a pass of their own over five narrow
-    columns and joined by hour.  In one aggregation with the sums, Spark would
-    expand every silver row to three and shuffle all measures twice.
+    The distinct zones of an hour are counted by bitmaps (:class:`X.DistinctIds`), which add up like sums do.  Ids
+    outside the bitmaps' range are grouping keys of the first aggregation, so an hour has one row there unless it
+    holds such ids; each of them is marked where it first occurs, and the second aggregation counts the marks.
     """
-    tipped, card = F.col("was_tipped"), F.col("payment_type") == 1
-    sums = silver.groupBy(*DAILY_KEYS).agg(
-        _rows().alias("trip_count"),
-        F.sum("passenger_count").alias("total_passengers"),
-        _sum2("total_amount").alias("total_revenue"),
-        _avg2("total_amount").alias("avg_fare"),
-        _sum2("fare_amount").alias("total_fare_amount"),
-        _sum2("tip_amount").alias("total_tips"),
-        _avg2("tip_pct").alias("avg_tip_pct"),
-        _sum2("trip_distance").alias("total_miles"),
-        _avg2("trip_distance").alias("avg_distance"),
-        _avg2("trip_duration_minutes").alias("avg_duration_minutes"),
-        _avg2("avg_speed_mph").alias("avg_speed_mph"),
-        _avg2("fare_per_mile").alias("avg_fare_per_mile"),
-        _avg2("revenue_per_minute").alias("avg_revenue_per_minute"),
-        F.count_if(tipped).alias("tipped_trips"),
-        X.percent_of_rows(tipped, 2).alias("tip_rate_pct"),
-        F.count_if(card).alias("credit_card_trips"),
-        F.count_if(F.col("payment_type") == 2).alias("cash_trips"),
-        X.percent_of_rows(card, 2).alias("credit_card_pct"),
+    keys, tipped = list(DAILY_KEYS), F.col("was_tipped")
+    zones = {"pickup": X.DistinctIds("pu_location_id"), "dropoff": X.DistinctIds("do_location_id")}
+    odd = [f"odd_{name}" for name in zones]
+    parts = {f"{column}__{part}": value for column, known in DAILY_SUMS.items() for part, value in X.sum_parts(column, **known).items()}
+    counts = {
+        "trip_count": _rows(),
+        "tipped_trips": F.count_if(tipped),
+        "credit_card_trips": F.count_if(F.col("payment_type") == 1),
+        "cash_trips": F.count_if(F.col("payment_type") == 2),
+        **{f"{column}__n": F.count(column) for column in DAILY_SUMS},
+    }
+    first = {
+        **{name: F.sum(value) for name, value in parts.items()},
+        "total_passengers": F.sum("passenger_count"),
+        **counts,
+    }
+    words = {f"{name}__{k}": word for name, ids in zones.items() for k, word in enumerate(ids.words())}
+    by_odd = silver.groupBy(*keys, *[ids.outside().alias(f"odd_{name}") for name, ids in zones.items()]).agg(
+        *[value.alias(name) for name, value in first.items()], *[F.bit_or(word).alias(name) for name, word in words.items()]
     )
-    zones = silver.groupBy(*DAILY_KEYS).agg(
-        F.count_distinct("pu_location_id").alias("unique_pickup_zones"),
-        F.count_distinct("do_location_id").alias("unique_dropoff_zones"),
+    marked = by_odd.withColumns({f"new_{name}": X.first_of(f"odd_{name}", keys, odd) for name in zones})
+    hours = marked.groupBy(*keys).agg(
+        *[F.sum(name).alias(name) for name in first],
+        *[F.bit_or(name).alias(name) for name in words],
+        *[F.count_if(f"new_{name}").alias(f"new_{name}") for name in zones],
     )
-    same_hour = [sums[key].eqNullSafe(zones[key]) for key in DAILY_KEYS]
-    joined = sums.join(zones, same_hour).select(
-        sums["*"], zones["unique_pickup_zones"], zones["unique_dropoff_zones"]
+
+    def total(column: str) -> Column:
+        return X.joined_sum({part: F.col(f"{column}__{part}") for part in X.sum_parts(column, **DAILY_SUMS[column])})
+
+    def sum2(column: str) -> Column:
+        return X.round_half_up(total(column), 2)
+
+    def avg2(column: str) -> Column:
+        return X.round_half_up(total(column) / F.nullif(F.col(f"{column}__n"), F.lit(0)), 2)
+
+    def share(name: str) -> Column:
+        return X.round_half_up(F.col(name) * 100.0 / F.col("trip_count"), 2)
+
+    def distinct(name: str) -> Column:
+        return zones[name].count([F.col(f"{name}__{k}") for k in range(zones[name].size)]) + F.col(f"new_{name}")
+
+    return hours.select(
+        "pickup_date",
+        "pickup_hour",
+        "trip_count",
+        "total_passengers",
+        sum2("total_amount").alias("total_revenue"),
+        avg2("total_amount").alias("avg_fare"),
+        sum2("fare_amount").alias("total_fare_amount"),
+        sum2("tip_amount").alias("total_tips"),
+        avg2("tip_pct").alias("avg_tip_pct"),
+        sum2("trip_distance").alias("total_miles"),
+        avg2("trip_distance").alias("avg_distance"),
+        avg2("trip_duration_minutes").alias("avg_duration_minutes"),
+        avg2("avg_speed_mph").alias("avg_speed_mph"),
+        avg2("fare_per_mile").alias("avg_fare_per_mile"),
+        avg2("revenue_per_minute").alias("avg_revenue_per_minute"),
+        "tipped_trips",
+        share("tipped_trips").alias("tip_rate_pct"),
+        "credit_card_trips",
+        "cash_trips",
+        share("credit_card_trips").alias("credit_card_pct"),
+        distinct("pickup").alias("unique_pickup_zones"),
+        distinct("dropoff").alias("unique_dropoff_zones"),
+        X.day_name("day_of_week").alias("day_name"),
+        X.is_weekend("day_of_week").alias("is_weekend"),
+        X.time_of_day("pickup_hour").alias("time_of_day"),
     )
-    labels = {
-        "day_name": X.day_name("day_of_week"),
-        "is_weekend": X.is_weekend("day_of_week"),
-        "time_of_day": X.time_of_day("pickup_hour"),
-    }
-    return joined.withColumns(labels).drop("day_of_week")
 
 
+#: The columns of the hourly table, in order.
 DAILY_SUMMARY_COLUMNS = (
-    "pickup_date pickup_hour day_name is_weekend time_of_day trip_count total_passengers "
-    "total_revenue avg_fare total_fare_amount total_tips avg_tip_pct total_miles avg_distance "
-    "avg_duration_minutes avg_speed_mph avg_fare_per_mile avg_revenue_per_minute tipped_trips "
-    "tip_rate_pct credit_card_trips cash_trips credit_card_pct unique_pickup_zones "
-    "unique_dropoff_zones hour_rank_by_volume hour_rank_by_revenue rolling_7d_avg_trips "
-    "is_peak_hour revenue_per_trip avg_passengers_per_trip"
-).split()
+    "pickup_date", "pickup_hour", "day_name", "is_weekend", "time_of_day", "trip_count", "total_passengers",
+    "total_revenue", "avg_fare", "total_fare_amount", "total_tips", "avg_tip_pct", "total_miles", "avg_distance",
+    "avg_duration_minutes", "avg_speed_mph", "avg_fare_per_mile", "avg_revenue_per_minute", "tipped_trips",
+    "tip_rate_pct", "credit_card_trips", "cash_trips", "credit_card_pct", "unique_pickup_zones",
+    "unique_dropoff_zones", "hour_rank_by_volume", "hour_rank_by_revenue", "rolling_7d_avg_trips",
+    "is_peak_hour", "revenue_per_trip", "avg_passengers_per_trip",
+)
 
 
 def gold_daily_summary(silver: DataFrame) -> DataFrame:

@@ -43,6 +43,21 @@ def test_as_of_timestamp(log):
     assert live(V.as_of_timestamp(log, LOG_KEYS, "2024-02-05 23:59:59", ORDER())) == replay(log, 4)
 
 
+def test_below_the_floor_is_an_error(spark, log, tmp_path):
+    expired = V.expire_versions(log, LOG_KEYS, "2024-02-06", 1, ORDER())
+    floor = expired.agg(F.min("_version"), F.min("_committed_at")).first()
+    assert floor[0] > 1
+    path = str(tmp_path / "log")  # stored, partition pruning leaves no file to read
+    ST.append_to_log(expired, path)
+    for rows in (expired, ST.read_change_log(spark, path)):
+        with pytest.raises(Exception, match="the log begins at"):
+            V.as_of_version(rows, LOG_KEYS, floor[0] - 1, ORDER()).collect()
+        with pytest.raises(Exception, match="the log begins at"):
+            V.as_of_timestamp(rows, LOG_KEYS, floor[1] - dt.timedelta(seconds=1), ORDER()).collect()
+        assert live(V.as_of_version(rows, LOG_KEYS, floor[0], ORDER())) == replay(log, floor[0])
+    assert V.as_of_version(log.limit(0), LOG_KEYS, 3, ORDER()).collect() == []
+
+
 def test_history(log):
     history = {row["_version"]: row for row in V.version_history(log).collect()}
     assert sorted(history) == list(range(1, 11))

@@ -13,6 +13,7 @@ from ..sources import files
 from ..sources.layout import stored_manifest
 from ..sources.writers import TARGET_FILE_BYTES, overwrite_partitions, write_parquet
 from . import versions as V
+from .history import TableHistory
 from .upsert import merge_upsert
 
 
@@ -43,17 +44,28 @@ def merge_into_path(
     keys: Sequence[str],
     partition: str = "pickup_date",
     check: bool = True,
+    history: bool = False,
 ) -> None:
     """Upsert ``updates`` into the table at ``path``, rewriting only the partitions they touch.
 
     The key must fix the partition (it holds the pickup time), so untouched
     partitions cannot hold a match.  Steps: write the merged partitions to a
     stage, overwrite those partitions from it, drop the stage.  Whatever step
-    fails, running the same merge again gives the same table.
+    fails, running the same merge again gives the same table.  With ``history``,
+    and for a table that has one, the merge is a version of it.
     """
-    finish_merge(spark, path, partition)
-    if not files.exists(spark, path):
-        write_parquet(updates, path, partition_by=[partition])  # first load takes rows as they are
+    versions = TableHistory(spark, path, partition)
+    history = history or files.exists(spark, versions.folder)
+    if history:
+        versions.finish()
+        if files.exists(spark, _stage(path)):  # of a merge that stopped before its commit
+            files.delete(spark, _stage(path))
+    else:
+        finish_merge(spark, path, partition)
+    if not files.exists(spark, path):  # first load takes rows as they are
+        write_parquet(updates, _stage(path) if history else path, partition_by=[partition])
+        if history:
+            versions.commit(_stage(path), "load", replace=True)
         return
     updates = updates.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -66,7 +78,10 @@ def merge_into_path(
         write_parquet(merged, _stage(path), partition_by=[partition])
     finally:
         updates.unpersist()
-    finish_merge(spark, path, partition)
+    if history:
+        versions.commit(_stage(path), "merge", replace=False)
+    else:
+        finish_merge(spark, path, partition)
 
 
 def read_change_log(spark: SparkSession, path: str) -> DataFrame:

@@ -31,15 +31,29 @@ def current_rows(log: DataFrame, keys: Sequence[str], tiebreak: Sequence[Column]
     return latest_changes(log, keys, tiebreak).filter(F.col(OP) != DELETE).drop(OP)
 
 
+def _from_the_floor(log: DataFrame, column: str, bound: Column) -> Column:
+    """True, or an error when the query runs if the whole log is newer than ``bound`` and was expired.
+
+    An expired log begins with a base image at its oldest readable version, its floor; what was before is not known.
+    One that still has version 1 is whole, and before it there was nothing.  The test is a scalar subquery of narrow
+    columns, which runs whatever rows are left.
+    """
+    message = F.concat(F.lit(f"as of {column} "), bound.cast("string"), F.lit(" cannot be read: the log begins at "), F.min(column).cast("string"))
+    return log.agg(F.when((F.min(column) > bound) & (F.min(VERSION) > 1), F.raise_error(message)).otherwise(F.lit(True))).scalar()
+
+
 def as_of_version(log: DataFrame, keys: Sequence[str], version: int, tiebreak: Sequence[Column] = ()) -> DataFrame:
-    """Live rows as they were right after ``version``."""
-    return current_rows(log.filter(F.col(VERSION) <= version), keys, tiebreak)
+    """Live rows as they were right after ``version``; one before the floor of an expired log is an error."""
+    bound = F.lit(version)
+    known = log.filter((F.col(VERSION) <= version) & _from_the_floor(log, VERSION, bound))
+    return current_rows(known, keys, tiebreak)
 
 
 def as_of_timestamp(log: DataFrame, keys: Sequence[str], moment, tiebreak: Sequence[Column] = ()) -> DataFrame:
-    """Live rows as they were at ``moment`` (inclusive)."""
+    """Live rows as they were at ``moment`` (inclusive); one before the floor of an expired log is an error."""
     bound = F.lit(moment).cast("timestamp_ntz")
-    return current_rows(log.filter(F.col(COMMITTED_AT) <= bound), keys, tiebreak)
+    known = log.filter((F.col(COMMITTED_AT) <= bound) & _from_the_floor(log, COMMITTED_AT, bound))
+    return current_rows(known, keys, tiebreak)
 
 
 def version_history(log: DataFrame) -> DataFrame:

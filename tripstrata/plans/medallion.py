@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..operators.clean import REJECT_REASON, with_reject_reason
 from ..operators.gold import GOLD_TABLES
+from ..operators.history import TableHistory
 from ..operators.silver import VIEW_TO_TRIP_NAMES, build_silver, newest_per_key, raw_trips
 from ..operators.stored import finish_merge, merge_into_path
 from ..operators.upsert import incremental_filter
@@ -85,8 +86,9 @@ def run_medallion(
     ``full`` rebuilds silver: it is written to a stage in one pass that also
     counts rows and rule violations, and put in place only when every rule
     holds.  ``incremental`` (``dbt`` profile) cleans trips from the newest
-    loaded day on and upserts them.  Gold is rebuilt from the stored silver,
-    which both gold tables share.
+    loaded day on and upserts them.  Either way the new silver is a version of
+    its history (``operators/history.py``).  Gold is rebuilt from the stored
+    silver, which both gold tables share.
     """
     if not write:
         return dry_run(spark, trips, profile, run_id)
@@ -137,6 +139,8 @@ def _write_layers(spark, trips, profile, root, silver_path, mode, lookback_days,
 
 def _rebuild_silver(spark, trips, profile, silver_path, record) -> list[dict]:
     stage = f"{silver_path}__staged"
+    history = TableHistory(spark, silver_path)
+    history.finish()
     files.recover(spark, stage, silver_path)
     finish_merge(spark, silver_path)  # or an older stage would be published over the new table later
     built = build_silver(trips, profile)
@@ -148,7 +152,7 @@ def _rebuild_silver(spark, trips, profile, silver_path, record) -> list[dict]:
     _account(record, with_reject_reason(trips, profile), silver_rows)
     lines = _report(checks.get, names, silver_rows, profile in Q.NON_EMPTY_PROFILES)
     Q.enforce(lines, f"silver of profile {profile} not published")
-    files.publish(spark, stage, silver_path)
+    history.commit(stage, "rebuild", replace=True)
     return lines
 
 
@@ -161,12 +165,15 @@ def _account(record: RunRecord, tagged: DataFrame, silver_rows: int) -> None:
 
 
 def _extend_silver(spark, trips, silver_path, lookback_days, record) -> list[dict]:
+    history = TableHistory(spark, silver_path)
+    history.finish()
     files.recover(spark, f"{silver_path}__staged", silver_path)
-    finish_merge(spark, silver_path)  # before anything reads the table
+    if not files.exists(spark, history.folder):
+        finish_merge(spark, silver_path)  # before anything reads the table
     stored = spark.read.parquet(silver_path) if files.exists(spark, silver_path) else None
     fresh = incremental_filter(raw_trips(trips), stored, lookback_days=lookback_days)
     updates = newest_per_key(build_silver(fresh, "dbt"))
     lines = [row.asDict() for row in Q.enforce(Q.silver_report(updates, "dbt"), "updates not merged")]
     _account(record, with_reject_reason(fresh.withColumnsRenamed(VIEW_TO_TRIP_NAMES), "dbt"), lines[0]["checked"])
-    merge_into_path(spark, silver_path, updates, MERGE_KEYS, check=False)
+    merge_into_path(spark, silver_path, updates, MERGE_KEYS, check=False, history=True)
     return lines

@@ -7,7 +7,7 @@ probability 0.51, and two of twelve do so with 0.997.
 Documents with equal shingle sets stand behind one representative.  Those that share a table key, directly or
 through others, form a candidate group; its texts are brought together once and links are confirmed on full
 shingle sets.  Groups of up to ``BLOCK`` documents are compared all against all in one task.  Larger ones are cut
-into blocks and compared with hub documents, those nearest the group's consensus first, round after round, until
+into blocks and compared with blocks of hub documents, those nearest the group's consensus first, round after round, until
 every document outside the group's largest component has been a hub: every pair that could still join two
 components has then been compared, at a cost that follows the documents left over, not the square of the group.
 """
@@ -21,10 +21,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import Forest, components
 from .scratch import staged
 from .words import LOWER, NOT_SPACE, chained, hashes, spans, text_slices
 
@@ -35,8 +35,9 @@ class Settings:
     similarity: tuple[int, int] = (80, 100)  # intersection / union, as a fraction
     collections: int = 12
     rows: int = 3
-    block: int = 256  # documents of a candidate group that one task compares at a time
-    hubs: int = 256  # of the first round; each round doubles them
+    block: int = 256  # documents of a candidate group that one task compares at a time, with as many hubs
+    block_shingles: int = 2_000_000  # of these documents, about; a longer text is alone
+    hubs: int = 256  # of the first round, about; each round doubles them
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -106,23 +107,6 @@ class Links:
         return np.flatnonzero(self.bottom * shared >= self.top * (len(hub) + self.sizes - shared))
 
 
-class Forest:
-    """Union-find that keeps the smallest member as root."""
-
-    def __init__(self):
-        self.above: dict = {}
-
-    def root(self, x):
-        while self.above.setdefault(x, x) != x:
-            self.above[x] = x = self.above[self.above[x]]
-        return x
-
-    def join(self, x, y) -> None:
-        x, y = self.root(x), self.root(y)
-        if x != y:
-            self.above[max(x, y)] = min(x, y)
-
-
 def _solved(rows: list[tuple[object, str, bool]], settings: Settings) -> Forest:
     """``rows`` of a block: (key, text, is a hub from elsewhere).  Without hubs all are compared with all."""
     sets = list(shingle_sets(pa.array([t for _, t, _ in rows], pa.large_string()), settings.shingle))
@@ -140,7 +124,7 @@ def _solved(rows: list[tuple[object, str, bool]], settings: Settings) -> Forest:
 
 
 def _blocks_solved(frame: DataFrame, settings: Settings, kind: str) -> DataFrame:
-    """(grp, salt, hub, key, text) -> (a, b): a forest of the links in each block of (grp, salt)."""
+    """(grp, salt, part, hub, key, text) -> (a, b): a forest of the links in each block of (grp, salt, part)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solved(rows):
@@ -150,16 +134,35 @@ def _blocks_solved(frame: DataFrame, settings: Settings, kind: str) -> DataFrame
         at, rows, out_type = None, [], None
         for batch in batches:
             out_type = batch.schema.field("key").type
-            for g, s, hub, key, text in zip(*(batch.column(c).to_pylist() for c in ("grp", "salt", "hub", "key", "text"))):
-                if at != (g, s) and any(not r[2] for r in rows):
+            for *block, hub, key, text in zip(*(batch.column(c).to_pylist() for c in ("grp", "salt", "part", "hub", "key", "text"))):
+                if at != block and any(not r[2] for r in rows):
                     yield solved(rows)
-                if at != (g, s):
-                    at, rows = (g, s), []
+                if at != block:
+                    at, rows = block, []
                 rows.append((key, text, hub))
         if any(not r[2] for r in rows):
             yield solved(rows)
 
-    return frame.repartition("grp", "salt").sortWithinPartitions("grp", "salt").mapInArrow(run, f"a {kind}, b {kind}")
+    return frame.repartition("grp", "salt", "part").sortWithinPartitions("grp", "salt", "part").mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def _hubs(waiting: DataFrame, count: int) -> DataFrame:
+    """About ``count`` rows of each group, those that agree most first: (grp, key, blocks, size).
+
+    Rows are taken by their agreement and a bucket of their key of about a block's size, so that windows see counts of
+    buckets and no group's rows are ranked in one task.
+    """
+    bucket = F.pmod(F.xxhash64("key", F.lit("hub")), F.col("blocks")).cast("int")
+    dealt = waiting.withColumn("bucket", bucket)
+    so_far = Window.partitionBy("grp").orderBy(F.desc("agree"), "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bars = dealt.groupBy("grp", "agree", "bucket").count().withColumn("before", F.coalesce(F.sum("count").over(so_far), F.lit(0)))
+    best = bars.filter(F.col("before") < count).select("grp", "agree", "bucket")
+    return staged(dealt.join(best, ["grp", "agree", "bucket"]).select("grp", "key", "blocks", "size"), "hubs")
+
+
+def _blocks(settings: Settings) -> Column:
+    """Aggregate: blocks that rows with ``size`` shingles are dealt to, bounded by documents and by shingles."""
+    return F.greatest(F.ceil(F.count("*") / settings.block), F.ceil(F.sum("size") / settings.block_shingles)).cast("int")
 
 
 def _large_groups(texts: DataFrame, settings: Settings, kind: str) -> DataFrame:
@@ -167,21 +170,23 @@ def _large_groups(texts: DataFrame, settings: Settings, kind: str) -> DataFrame:
     bands = texts.select("grp", "key", F.posexplode("bands").alias("band", "value"))
     votes = bands.groupBy("grp", "band", "value").count().groupBy("grp", "band").agg(F.max_by("value", F.struct("count", "value")).alias("value"))
     agree = bands.join(votes, ["grp", "band", "value"]).groupBy("grp", "key").agg(F.count("*").alias("agree"))
-    ranked = staged(texts.select("grp", "key", "blocks").join(agree, ["grp", "key"], "left").select("grp", "key", "blocks", F.coalesce("agree", F.lit(0)).alias("agree")), "agree")
+    ranked = staged(texts.select("grp", "key", "blocks", "size").join(agree, ["grp", "key"], "left").select("grp", "key", "blocks", "size", F.coalesce("agree", F.lit(0)).alias("agree")), "agree")
     waiting, hubs, found, asked = ranked, settings.hubs, None, None
     while True:
-        best = Window.partitionBy("grp").orderBy(F.desc("agree"), "key")
-        chosen = staged(waiting.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= hubs).select("grp", "key", "blocks"), "hubs")
+        chosen = _hubs(waiting, hubs)
         asked = chosen if asked is None else asked.union(chosen)
-        copies = chosen.join(texts.select("grp", "key", "text"), ["grp", "key"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rows = texts.select("grp", "salt", F.lit(False).alias("hub"), "key", "text").union(copies.select("grp", "salt", F.lit(True), "key", "text"))
+        parts = chosen.groupBy("grp").agg(_blocks(settings).alias("parts"))
+        dealt = chosen.join(parts, "grp").withColumn("part", F.pmod(F.xxhash64("key", F.lit("part")), F.col("parts")).cast("int"))
+        copies = dealt.join(texts.select("grp", "key", "text"), ["grp", "key"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        own = texts.join(parts, "grp").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        rows = own.select("grp", "salt", "part", F.lit(False).alias("hub"), "key", "text").union(copies.select("grp", "salt", "part", F.lit(True), "key", "text"))
         links = _blocks_solved(rows, settings, kind)
         found = staged(links if found is None else links.union(found), "links")
         labels = components(found)
-        label = ranked.join(labels, ranked["key"] == labels["node"], "left").select("grp", "key", "blocks", "agree", F.coalesce("label", "key").alias("label"))
+        label = ranked.join(labels, ranked["key"] == labels["node"], "left").select("grp", "key", "blocks", "size", "agree", F.coalesce("label", "key").alias("label"))
         sizes = label.groupBy("grp", "label").count()
         largest = sizes.groupBy("grp").agg(F.max_by("label", F.struct("count", "label")).alias("largest"))
-        waiting = staged(label.join(largest, "grp").filter("label <> largest").select("grp", "key", "blocks", "agree").join(asked.select("grp", "key"), ["grp", "key"], "left_anti"), "waiting")
+        waiting = staged(label.join(largest, "grp").filter("label <> largest").select("grp", "key", "blocks", "size", "agree").join(asked.select("grp", "key"), ["grp", "key"], "left_anti"), "waiting")
         if waiting.isEmpty():
             return found
         hubs *= 2
@@ -196,16 +201,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
     kind = docs.schema[key].dataType.simpleString()
     rows = staged(sketches(docs, key, text, settings), "sketches")
     full = rows.filter("n > 0 and key is not null")
-    sets = full.groupBy("name").agg(F.min("key").alias("key"), F.first("bands").alias("bands"))
+    sets = full.groupBy("name").agg(F.min("key").alias("key"), F.first("bands").alias("bands"), F.first("n").alias("size"))
     tables = [F.xxhash64(F.lit(t), F.col("bands")[i], F.col("bands")[j]) for t, (i, j) in enumerate(combinations(range(settings.collections), 2))]
     slots = sets.select("key", F.explode(F.array(*tables)).alias("slot"))
     shared = slots.groupBy("slot").agg(F.min("key").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("slot", "hub")
     group = components(slots.join(shared, "slot").filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct())
-    blocks = group.groupBy("label").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("blocks"))
-    members = group.join(blocks, "label").select(F.col("label").alias("grp"), F.col("node").alias("key"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("salt"))
+    group = group.join(sets.select("key", "size"), F.col("node") == F.col("key")).select("label", "node", "size")
+    blocks = group.groupBy("label").agg(_blocks(settings).alias("blocks"))
+    members = group.join(blocks, "label").select(F.col("label").alias("grp"), F.col("node").alias("key"), "size", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("salt"))
     banded = members.join(full.groupBy("key").agg(F.first("bands").alias("bands")), "key")
     texts = staged(docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(banded, "key"), "near-texts")
-    small = texts.filter("blocks = 1").select("grp", "salt", F.lit(False).alias("hub"), "key", "text")
+    small = texts.filter("blocks = 1").select("grp", "salt", F.lit(0).alias("part"), F.lit(False).alias("hub"), "key", "text")
     links = staged(_blocks_solved(small, settings, kind), "links")
     large = texts.filter("blocks > 1")
     if not large.isEmpty():

@@ -25,8 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components
-from .near import Forest
+from .graph import Forest, components
 from .scratch import staged
 
 LIMIT = 0.93

@@ -41,6 +41,28 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     return control.astype(np.uint8).tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
 
 
+def pack_documents(ranks: np.ndarray, counts: np.ndarray, last: int) -> tuple[pa.Array, pa.Array]:
+    """Control and data bytes of each document of a slice, packed at once; ``last`` ends each of them.
+
+    ``ranks`` holds the documents one after the other, ``counts`` how many each has.  Every document begins with a
+    control byte of its own, as in :func:`pack`.
+    """
+    groups = (counts + 1 + 3) // 4
+    first = np.concatenate(([0], np.cumsum(groups)))  # control byte of each document
+    start = first[:-1] * 4
+    padded = np.zeros(int(first[-1]) * 4, "<u4")
+    padded[np.arange(len(ranks)) + np.repeat(start - (np.cumsum(counts) - counts), counts)] = ranks
+    padded[start + counts] = last
+    size = (padded > 0xFF).astype(np.uint8) + (padded > 0xFFFF) + (padded > 0xFFFFFF)
+    control = (size[0::4] | size[1::4] << 2 | size[2::4] << 4 | size[3::4] << 6).astype(np.uint8)
+    data = padded.view(np.uint8).reshape(-1, 4)[np.arange(4) <= size[:, None]]
+    ends = np.concatenate(([0], np.cumsum(LENGTHS[control].sum(axis=1))))[first]
+    return tuple(
+        pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(values)]).cast(pa.binary())
+        for cuts, values in ((first, control), (ends, data))
+    )
+
+
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()
     source = np.frombuffer(data, np.uint8)
@@ -88,8 +110,8 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     Two scans of the texts: one counts ids, one encodes.  What is shuffled is coded already.  Files are cut at
     quantiles of the key; a key that holds more than a file's documents, null too, is spread over its files by hash.
     """
-    file = file or bpe.path()
-    by_rank = _frequencies(docs, text, file, end_id)
+    vocabulary = file or bpe.path()
+    by_rank = _frequencies(docs, text, vocabulary, end_id)
     rank_of = np.empty(len(by_rank), np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     spark = docs.sparkSession
@@ -104,17 +126,17 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank_of, cuts = shipped.value
         for batch in batches:
-            for row, end, ids, count in bpe.encoded(batch.column("text"), file):
+            for row, end, ids, count in bpe.encoded(batch.column("text"), vocabulary):
                 keys = batch.column("key").slice(row, end - row)
                 numbers = pc.fill_null(keys, lowest).to_numpy()
                 low, high = np.searchsorted(cuts, numbers, "left"), np.searchsorted(cuts, numbers, "right")
                 low = np.where((numbers == lowest) & pc.is_valid(keys).to_numpy(zero_copy_only=False), high, low)  # behind all null keys
-                ranks, first = rank_of[ids], np.concatenate(([0], np.cumsum(count)))
-                parts = [np.append(ranks[a:b], rank_of[end_id]) for a, b in zip(first, first[1:])]
-                coded = [pack(p) for p in parts]
-                spread = np.array([zlib.crc32(d) for _, d in coded]) % (high - low + 1)
+                control, packed = pack_documents(rank_of[ids], count, rank_of[end_id])
+                file = low.copy()
+                for k in np.flatnonzero(high > low):  # a key with several files
+                    file[k] += zlib.crc32(packed[k].as_buffer()) % (high[k] - low[k] + 1)
                 yield pa.RecordBatch.from_pydict(
-                    {"file": pa.array(low + spread, pa.int32()), "key": keys, "n": pa.array(count + 1, pa.int64()), "control": pa.array([c for c, _ in coded], pa.binary()), "data": pa.array([d for _, d in coded], pa.binary())}
+                    {"file": pa.array(file, pa.int32()), "key": keys, "n": pa.array(count + 1, pa.int64()), "control": control, "data": packed}
                 )
 
     coded = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, "file int, key long, n long, control binary, data binary")

@@ -39,7 +39,7 @@ def rows():
 @pytest.fixture(scope="session")
 def docs(spark, rows):
     """With extra columns under names that operators use inside."""
-    extra = ", ".join(f"'{n}' as `{n}`" for n in ("key", "k1", "size", "place", "bucket", "name", "label", "n", "z", "html", "file", "data", "_n_words_x"))
+    extra = ", ".join(f"'{n}' as `{n}`" for n in ("key", "k1", "size", "place", "bucket", "name", "label", "n", "z", "html", "file", "data", "_n_words", "_n_hit", "_HITS", "_spans", "_items", "_score", "_source", "_target", "_base", "_threshold", "_copies", "_copy", "_source_size", "row", "x", "y", "grp", "salt", "part"))
     return spark.createDataFrame(rows, SCHEMA).repartition(5).selectExpr("*", *extra.split(", ")).cache()
 
 

@@ -14,7 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from ..operators.ranking import free_name
 from .words import LETTERS_DIGITS, LOWER
 
 WINDOW = 10
@@ -70,9 +73,8 @@ class Matcher:
             items.update(names)
         return len(words), np.cumsum(change[:-1]) > 0, items
 
-    def spans(self, text: str | None) -> list[tuple[int, int]]:
+    def spans(self, text: str | None, hit: np.ndarray | None) -> list[tuple[int, int]]:
         """Byte spans of the original text from the first to the last word of each run of hit words."""
-        _, hit, _ = self.scan(text)
         if hit is None:
             return []
         data = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(_TO_WORDS), np.uint8) != 0x20
@@ -96,39 +98,58 @@ def item_groups(benchmark: DataFrame, item: str = "item_id", text: str = "text",
     return groups
 
 
-def _scanned(batch: pa.RecordBatch, matcher: Matcher, text: str) -> pa.RecordBatch:
-    counts, sums, hits, spans, items = [], [], [], [], []
-    before = batch.select(["_n_words", "_hits", "_spans", "_items"]).to_pylist()
-    for value, old in zip(batch.column(text).to_pylist(), before):
+#: What a scan adds to each row, under names that are free in the table.
+ADDED = {
+    "n_words": T.LongType(),
+    "n_hit": T.LongType(),
+    "hits": T.BinaryType(),
+    "spans": T.ArrayType(T.LongType()),
+    "items": T.ArrayType(T.StringType()),
+}
+
+
+def added_names(columns: Iterable[str]) -> dict[str, str]:
+    """The names of :data:`ADDED` beside ``columns``: an underscore in front, and behind as many as it takes."""
+    return {name: free_name(columns, f"_{name}") for name in ADDED}
+
+
+def _scanned(texts: pa.Array, matcher: Matcher, before: list[dict]) -> list[dict]:
+    """One matcher's findings in each text, added to those of earlier matchers."""
+    out = []
+    for value, old in zip(texts.to_pylist(), before):
         n, hit, names = matcher.scan(value)
-        runs = [x for pair in matcher.spans(value) for x in pair] if hit is not None else []
-        if old["_hits"] is not None:
-            earlier = np.unpackbits(np.frombuffer(old["_hits"], np.uint8), count=n).astype(bool)
+        runs = [x for pair in matcher.spans(value, hit) for x in pair]
+        if old["hits"] is not None:
+            earlier = np.unpackbits(np.frombuffer(old["hits"], np.uint8), count=n).astype(bool)
             hit = earlier if hit is None else hit | earlier
-        counts.append(n)
-        sums.append(0 if hit is None else int(hit.sum()))
-        hits.append(None if hit is None else np.packbits(hit).tobytes())
-        spans.append(old["_spans"] + runs)
-        items.append(sorted({*old["_items"], *names}))
-    added = {"_n_words": pa.array(counts, pa.int64()), "_n_hit": pa.array(sums, pa.int64()), "_hits": pa.array(hits, pa.binary()), "_spans": pa.array(spans, pa.list_(pa.int64())), "_items": pa.array(items, pa.list_(pa.string()))}
-    return pa.RecordBatch.from_pydict({name: added.get(name, batch.column(name)) for name in batch.schema.names})
+        bits = None if hit is None else np.packbits(hit).tobytes()
+        out.append({"n_words": n, "n_hit": 0 if hit is None else int(hit.sum()), "hits": bits, "spans": old["spans"] + runs, "items": sorted({*old["items"], *names})})
+    return out
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", width: int = WINDOW) -> DataFrame:
     """``docs`` with ``_n_words``, ``_n_hit``, ``_hits`` (a bit a word, null if none is hit), ``_spans`` (start and end bytes of
     the hit runs in the original text, one after the other) and ``_items`` (ids whose windows occur, sorted).
 
-    No shuffle: each text is scanned where it is read.  Null text has no words; equal item ids count as one;
-    an empty benchmark hits nothing; other columns pass through.
+    Names that ``docs`` has already get underscores behind them (:func:`added_names`).  No shuffle: each text passes
+    each automaton once, where it is read.  Null text has no words; equal item ids count as one; an empty benchmark
+    hits nothing; other columns pass through.
     """
-    out = docs.selectExpr("*", "0L as _n_words", "0L as _n_hit", "cast(null as binary) as _hits", "cast(array() as array<long>) as _spans", "cast(array() as array<string>) as _items")
+    names = added_names(docs.columns)
+    kinds = {name: to_arrow_type(kind) for name, kind in ADDED.items()}
+    empty = {"n_words": "0L", "n_hit": "0L", "hits": "cast(null as binary)", "spans": "cast(array() as array<long>)", "items": "cast(array() as array<string>)"}
+    out, at = docs.select("*", *[F.expr(value).alias(names[name]) for name, value in empty.items()]), docs.columns.index(text)
     for group in item_groups(benchmark, item, item_text):
         shipped = docs.sparkSession.sparkContext.broadcast(group)
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shipped.value, width)
             for batch in batches:
-                yield _scanned(batch, matcher, text)
+                own = batch.num_columns - len(ADDED)
+                before = [dict(zip(ADDED, row)) for row in zip(*(batch.column(own + k).to_pylist() for k in range(len(ADDED))))]
+                found = _scanned(batch.column(at), matcher, before)
+                added = [pa.array([f[name] for f in found], kind) for name, kind in kinds.items()]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:own], *added], names=batch.schema.names)
 
         out = out.mapInArrow(run, out.schema)
     return out
@@ -136,9 +157,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
 
 def leak_report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: key, n_words, n_hit, n_items, items_sha256, contaminated."""
-    out = scan(docs.select(key, text), benchmark, text)
+    out = scan(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), benchmark)
     return out.select(
-        key,
+        F.col("key").alias(key),
         F.col("_n_words").alias("n_words"),
         F.col("_n_hit").alias("n_hit"),
         F.size("_items").cast("long").alias("n_items"),
@@ -149,4 +170,5 @@ def leak_report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents in which no window of any item occurs, columns unchanged."""
-    return scan(docs, benchmark, text).filter("_hits is null").select(*docs.columns)
+    hits = added_names(docs.columns)["hits"]
+    return scan(docs, benchmark, text).filter(F.col(hits).isNull()).select(*docs.columns)

@@ -128,9 +128,9 @@ def mixture(docs: DataFrame, key: str = "doc_id", source: str = "source", text:
     null source form a source of their own; equal keys go together; an empty table gives an empty mix.
     """
     plan = plan_mix(sized(docs, key, source, word_count(F.col(text))), **options)
-    names = docs.columns
-    repeated = with_plan(docs, plan, F.col(source), place(F.col(key))).filter("_copies > 0")
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*names)
+    rows = docs.select(F.struct(*[docs[name] for name in docs.columns]).alias("row"))  # so no name of theirs can clash
+    repeated = with_plan(rows, plan, F.col("row")[source], place(F.col("row")[key])).filter("_copies > 0")
+    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")
 
 
 def mix_report(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ranking import free_name
 from .words import NOT_SPACE, chained, hashes, mixed, spans, text_slices
 
 #: Labelled rows that the model is fitted on, the first by hash of their id: the one bounded sample here.
@@ -163,12 +164,13 @@ def in_fold(key: Column, folds: int = 5, fold: int = 0) -> Column:
 
 
 def with_score(docs: DataFrame, model: Model, text: str = "text", name: str = "_score") -> DataFrame:
-    """``docs`` with a score from 0 to 1; null text scores as empty text does."""
+    """``docs`` with a score from 0 to 1 as ``name``, which must be free; null text scores as empty text does."""
+    at = docs.columns.index(text)
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # 2**bits floats, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.scores(batch.column(text)))], names=[*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.scores(batch.column(at)))], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, docs.withColumn(name, F.lit(0.0)).schema)
 
@@ -186,4 +188,5 @@ def quality_report(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
 
 def good_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that the classifier does not reject, columns unchanged."""
-    return with_score(docs, training_model(docs, labels, key), text).filter(F.col("_score") >= THRESHOLD).select(*docs.columns)
+    score = free_name(docs.columns, "_score")
+    return with_score(docs, training_model(docs, labels, key), text, score).filter(F.col(score) >= THRESHOLD).select(*docs.columns)

@@ -133,7 +133,7 @@ def test_partition_values(spark):
 
 
 def test_files_of_a_table_are_listed_one_by_one(spark, tmp_path):
-    """The query ``file_listing`` sums all rows; here each file's line is held against the file."""
+    """The query ``file_listing`` has one file a table; here a table has several, each held against its file."""
     path = str(tmp_path / "events.parquet")
     for rows in (3, 5, 11):
         spark.range(rows).coalesce(1).write.mode("append").parquet(path)

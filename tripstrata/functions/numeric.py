@@ -13,14 +13,16 @@ def as_column(value: ColumnLike) -> Column:
 
 
 def round_half_up(value: ColumnLike, digits: int) -> Column:
-    """Round a double half-up at ``digits`` decimals.
+    """Round a double half-up at ``digits`` (0 to 4) decimals.
 
-    Rounding at ten decimals first drops the binary noise of a quotient, so that
-    1.00499999999999989 rounds to 1.01.  Sums need :func:`exact_sum` to not depend on order.
-    (A detour through ``decimal`` gives the same digits but several times the
-    generated code, which can push a stage over the JIT's method size limit.)
+    A value less than half of the tenth decimal below a tie counts as the tie, which drops the binary noise of a
+    quotient, so that 1.00499999999999989 rounds to 1.01.  Sums need :func:`exact_sum` to not depend on order.
+    It is plain arithmetic, as Spark's ``round`` makes a ``BigDecimal`` of every value; from 1e13 on, where doubles
+    have no such decimals any more, the last bit of a value may change.
     """
-    return F.round(F.round(as_column(value).cast("double"), 10), digits)
+    number, scale = as_column(value).cast("double"), 10.0**digits
+    size = F.rint(F.abs(number) * scale + 0.5 * 10.0 ** (digits - 10))  # which also takes ties up
+    return F.signum(number) * size / scale + 0.0  # adding zero turns -0.0 into 0.0
 
 
 def positive_ratio(numerator: ColumnLike, denominator: ColumnLike, default: float | None = None) -> Column:
@@ -49,52 +51,53 @@ def safe_divide(numerator: ColumnLike, denominator: ColumnLike, default: float =
     )
 
 
-#: Sums are kept in whole numbers, so the order of rows cannot matter: thousands, ten-thousandths of what is left,
+#: Sums are kept in whole numbers, so the order of rows cannot matter: millions, ten-thousandths of what is left,
 #: and a rest in units of 1e-12, which is 0 for values of up to four decimals.
-SUM_BASE, SUM_SCALE, SUM_REST = 1_000, 10_000, 1e12
+SUM_BASE, SUM_SCALE, SUM_REST = 1e6, 1e4, 1e12
 #: Larger values, infinities and NaN are added up as doubles.
 SUM_HUGE = 1e18
 
 
-def sum_parts(value: ColumnLike, bounded: bool = False, rounded: bool = False) -> dict[str, Column]:
+def sum_parts(value: ColumnLike, finite: bool = False, bounded: bool = False, rounded: bool = False) -> dict[str, Column]:
     """The numbers of a row whose sums make an exact sum, by name; see :func:`joined_sum`.
 
-    ``bounded`` leaves out the parts for values far above 1000, for columns that rules keep small (there a value over
-    1e14 is an error).  ``rounded`` leaves out the rest, for columns that were rounded to four decimals or fewer.
+    Columns of which more is known need fewer: ``finite`` for those without values of 1e18 and more, ``bounded`` for
+    those that rules keep below a million, ``rounded`` for those that were rounded to four decimals or fewer.  A value
+    that breaks such a promise gives the same sum or an overflow error.
     """
     number = as_column(value).cast("double")
-    parts, inner = {}, number
-    if not bounded:
+    parts = {}
+    if not (finite or bounded):
         usual = F.abs(number) < SUM_HUGE
-        known = F.when(usual, number).when(number.isNotNull(), F.lit(0.0))
-        parts["large"] = (known / SUM_BASE).cast("bigint")
         parts["huge"] = F.when(~usual, number)
-        inner = known - parts["large"] * float(SUM_BASE)
-    parts["units"] = F.round(inner * SUM_SCALE).cast("bigint")
+        number = F.when(usual, number).when(number.isNotNull(), F.lit(0.0))
+    if not bounded:
+        parts["large"] = (number / SUM_BASE).cast("bigint")
+        number = number - parts["large"] * SUM_BASE
+    parts["units"] = F.rint(number * SUM_SCALE).cast("bigint")
     if not rounded:
-        parts["rest"] = F.round((inner - parts["units"] / SUM_SCALE) * SUM_REST).cast("bigint")
+        parts["rest"] = F.rint((number - parts["units"] / SUM_SCALE) * SUM_REST).cast("bigint")
     return parts
 
 
 def joined_sum(sums: dict[str, Column]) -> Column:
     """The sum as double, from the sums of each part; NULL when there was no value."""
-    total = sums["units"] / float(SUM_SCALE)
+    total = sums["units"] / SUM_SCALE
     if "rest" in sums:
         total = total + sums["rest"] / SUM_REST
     if "large" in sums:
-        total = sums["large"] * float(SUM_BASE) + total
-        total = F.when(sums["huge"].isNull(), total).otherwise(total + sums["huge"])
-    return total
+        total = sums["large"] * SUM_BASE + total
+    return total + F.coalesce(sums["huge"], F.lit(0.0)) if "huge" in sums else total
 
 
-def exact_sum(value: ColumnLike, bounded: bool = False, rounded: bool = False) -> Column:
+def exact_sum(value: ColumnLike, **known: bool) -> Column:
     """Aggregate: sum as double, independent of the order of rows, of values of any size (see :func:`sum_parts`)."""
-    return joined_sum({name: F.sum(part) for name, part in sum_parts(value, bounded, rounded).items()})
+    return joined_sum({name: F.sum(part) for name, part in sum_parts(value, **known).items()})
 
 
-def exact_avg(value: ColumnLike, bounded: bool = False, rounded: bool = False) -> Column:
+def exact_avg(value: ColumnLike, **known: bool) -> Column:
     """Aggregate: :func:`exact_sum` over the number of values."""
-    return exact_sum(value, bounded, rounded) / F.count(as_column(value))
+    return exact_sum(value, **known) / F.count(as_column(value))
 
 
 def percent_of_rows(matching: Column, digits: int) -> Column:

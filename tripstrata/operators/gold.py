@@ -13,17 +13,37 @@ from pyspark.sql import functions as F
 from .. import functions as X
 from .ranking import rank_hours, rank_zones
 
+#: What is known of summed silver columns: bounded by the rules, rounded when they were computed.
+SUMMED = {
+    "fare_amount": {"bounded": True},
+    "trip_distance": {"bounded": True},
+    "trip_duration_minutes": {"bounded": True},
+    "avg_speed_mph": {"bounded": True, "rounded": True},
+    "fare_per_mile": {"bounded": True, "rounded": True},
+    "revenue_per_minute": {"rounded": True},
+    "tip_pct": {"rounded": True},
+}
+
+
 def _rows() -> Column:
     return F.count(F.lit(1))
 
 
+def _sum(name: str) -> Column:
+    return X.exact_sum(name, finite=True, **SUMMED.get(name, {}))
+
+
+def _avg(name: str) -> Column:
+    # a sum is usually wanted too, and Spark shares it; avg() would keep its own
+    return X.exact_avg(name, finite=True, **SUMMED.get(name, {}))
+
+
 def _sum2(name: str) -> Column:
-    return X.round_half_up(X.exact_sum(name), 2)
+    return X.round_half_up(_sum(name), 2)
 
 
 def _avg2(name: str) -> Column:
-    # a sum is usually wanted too, and Spark shares it; avg() would keep its own
-    return X.round_half_up(X.exact_avg(name), 2)
+    return X.round_half_up(_avg(name), 2)
 
 
 def _weekday_columns(sunday: int) -> dict[str, Column]:
@@ -42,18 +62,14 @@ def _weekday_columns(sunday: int) -> dict[str, Column]:
 #: Grouping columns; weekday name, weekend flag and day part are functions of them.
 DAILY_KEYS = ("pickup_date", "pickup_hour", "day_of_week")
 
-#: Summed columns, and what is known of them: bounded by the rules, rounded when they were computed.
+#: Summed columns of the hourly table, and what is known of them.
 DAILY_SUMS = {
-    "total_amount": {},
-    "fare_amount": {"bounded": True},
-    "tip_amount": {},
-    "tip_pct": {"rounded": True},
-    "trip_distance": {"bounded": True},
-    "trip_duration_minutes": {"bounded": True},
-    "avg_speed_mph": {"bounded": True, "rounded": True},
-    "fare_per_mile": {"bounded": True, "rounded": True},
-    "revenue_per_minute": {"rounded": True},
-}
+    name: {"finite": True, **SUMMED.get(name, {})}
+    for name in (
+        "total_amount", "fare_amount", "tip_amount", "tip_pct", "trip_distance", "trip_duration_minutes",
+        "avg_speed_mph", "fare_per_mile", "revenue_per_minute",
+    )
+}
 
 
 def gold_daily_hourly(silver: DataFrame) -> DataFrame:
@@ -154,19 +170,45 @@ def gold_daily_summary(silver: DataFrame) -> DataFrame:
     return rank_hours(gold_daily_hourly(silver)).withColumns(per_trip).select(*DAILY_SUMMARY_COLUMNS)
 
 
+#: Summed columns of the zone table.
+ZONE_SUMS = {name: DAILY_SUMS[name] for name in ("total_amount", "trip_distance", "trip_duration_minutes", "tip_pct")}
+
+
+def zone_days(silver: DataFrame) -> DataFrame:
+    """Counts and exact sums per day and pickup zone, which add up to :func:`zone_stats` of any set of days."""
+    return silver.groupBy("pickup_date", F.col("pu_location_id").alias("location_id")).agg(
+        _rows().alias("trip_count"),
+        F.count_if(F.col("was_tipped")).alias("tipped_trips"),
+        *[F.sum(value).alias(f"{column}__{part}") for column, known in ZONE_SUMS.items() for part, value in X.sum_parts(column, **known).items()],
+        *[F.count(column).alias(f"{column}__n") for column in ZONE_SUMS],
+    )
+
+
 def zone_stats(silver: DataFrame) -> DataFrame:
     """KPIs per pickup zone."""
-    days = F.count_distinct("pickup_date")
-    return silver.groupBy(F.col("pu_location_id").alias("location_id")).agg(
-        _rows().alias("trip_count"),
-        _sum2("total_amount").alias("total_revenue"),
-        _avg2("total_amount").alias("avg_fare"),
-        _avg2("trip_distance").alias("avg_distance"),
-        _avg2("trip_duration_minutes").alias("avg_duration_minutes"),
-        _avg2("tip_pct").alias("avg_tip_pct"),
-        X.percent_of_rows(F.col("was_tipped"), 2).alias("tip_rate_pct"),
-        days.alias("active_days"),
-        X.guarded_ratio(_rows(), days, digits=1).alias("avg_daily_trips"),
+    return stats_of_days(zone_days(silver))
+
+
+def stats_of_days(days: DataFrame) -> DataFrame:
+    """KPIs per pickup zone from :func:`zone_days`."""
+    trips = F.sum("trip_count")
+
+    def total(column: str) -> Column:
+        return X.joined_sum({part: F.sum(f"{column}__{part}") for part in X.sum_parts(column, **ZONE_SUMS[column])})
+
+    def avg2(column: str) -> Column:
+        return X.round_half_up(total(column) / F.nullif(F.sum(f"{column}__n"), F.lit(0)), 2)
+
+    return days.groupBy("location_id").agg(
+        trips.alias("trip_count"),
+        X.round_half_up(total("total_amount"), 2).alias("total_revenue"),
+        avg2("total_amount").alias("avg_fare"),
+        avg2("trip_distance").alias("avg_distance"),
+        avg2("trip_duration_minutes").alias("avg_duration_minutes"),
+        avg2("tip_pct").alias("avg_tip_pct"),
+        X.round_half_up(F.sum("tipped_trips") * 100.0 / trips, 2).alias("tip_rate_pct"),
+        _rows().alias("active_days"),
+        X.guarded_ratio(trips, _rows(), digits=1).alias("avg_daily_trips"),
     )
 
 
@@ -182,12 +224,12 @@ def gold_spark(silver: DataFrame) -> DataFrame:
     """Hourly KPIs of the ``spark`` silver table, unrounded."""
     hourly = silver.groupBy("pickup_date", "pickup_hour", "day_of_week").agg(
         _rows().alias("trip_count"),
-        X.exact_sum("total_amount").alias("total_revenue"),
-        X.exact_avg("total_amount").alias("avg_fare"),
-        X.exact_avg("trip_distance").alias("avg_distance"),
-        X.exact_avg("trip_duration_minutes").alias("avg_duration_minutes"),
+        _sum("total_amount").alias("total_revenue"),
+        _avg("total_amount").alias("avg_fare"),
+        _avg("trip_distance").alias("avg_distance"),
+        _avg("trip_duration_minutes").alias("avg_duration_minutes"),
         F.sum("passenger_count").alias("total_passengers"),
-        X.exact_avg("tip_amount").alias("avg_tip"),
+        _avg("tip_amount").alias("avg_tip"),
         F.count_distinct("pu_location_id").alias("unique_pickup_zones"),
     )
     miles = F.col("trip_count") * F.col("avg_distance")
@@ -213,7 +255,7 @@ def gold_hour_zone(silver: DataFrame) -> DataFrame:
         X.percent_of_rows(F.col("is_long_trip"), 1).alias("long_trip_pct"),
         X.percent_of_rows(F.col("is_airport_trip"), 1).alias("airport_trip_pct"),
         F.sum("passenger_count").alias("total_passengers"),
-        X.guarded_ratio(X.exact_sum("total_amount"), X.exact_sum("trip_distance"), 0.0).alias("revenue_per_mile"),
+        X.guarded_ratio(_sum("total_amount"), _sum("trip_distance"), 0.0).alias("revenue_per_mile"),
     )
     calendar = {
         "pickup_year": F.year("pickup_date"),
@@ -239,7 +281,7 @@ def gold_hour_demo(silver: DataFrame) -> DataFrame:
         _avg2("tip_amount").alias("avg_tip"),
         X.percent_of_rows(F.col("was_tipped"), 1).alias("tip_rate_pct"),
         F.sum("passenger_count").alias("total_passengers"),
-        X.guarded_ratio(X.exact_sum("total_amount"), X.exact_sum("trip_distance"), 0.0).alias("revenue_per_mile"),
+        X.guarded_ratio(_sum("total_amount"), _sum("trip_distance"), 0.0).alias("revenue_per_mile"),
     )
     return measures.withColumns(_weekday_columns(sunday=0)).select(
         "pickup_date", "pickup_hour", "time_of_day", "day_of_week", "day_name", "is_weekend",
@@ -252,10 +294,10 @@ def gold_sim(silver: DataFrame) -> DataFrame:
     """Date x hour sums of the ``sim`` silver table, unrounded."""
     return silver.groupBy("pickup_date", "pickup_hour", "time_of_day").agg(
         _rows().alias("trip_count"),
-        X.exact_sum("total_amount").alias("total_revenue"),
-        X.exact_sum("trip_distance").alias("total_distance"),
+        _sum("total_amount").alias("total_revenue"),
+        _sum("trip_distance").alias("total_distance"),
         F.count_if(F.col("tip_amount") > 0).alias("tipped_trips"),
-        X.exact_sum("tip_pct").alias("total_tip_pct"),
+        _sum("tip_pct").alias("total_tip_pct"),
     )
 
 

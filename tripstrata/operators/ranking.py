@@ -38,16 +38,16 @@ def rank_hours(hourly: DataFrame) -> DataFrame:
     it.  Windows are cut by date (at most 24 hours) and by hour (one row a day).
     """
     day, hour = Window.partitionBy("pickup_date"), F.col("pickup_hour")
-    same_hour = Window.partitionBy("pickup_hour").orderBy("pickup_date").rowsBetween(1 - ROLLING_ROWS, 0)
     by_volume = F.row_number().over(day.orderBy(F.desc("trip_count"), hour))
     by_revenue = F.row_number().over(day.orderBy(F.desc("total_revenue"), hour))
     ranked = hourly.withColumns({"hour_rank_by_volume": by_volume, "hour_rank_by_revenue": by_revenue})
-    return ranked.withColumns(
-        {
-            "rolling_7d_avg_trips": X.round_half_up(F.avg("trip_count").over(same_hour), 1),
-            "is_peak_hour": F.col("hour_rank_by_volume") <= PEAK_HOURS,
-        }
-    )
+    return rolling_average(ranked).withColumn("is_peak_hour", F.col("hour_rank_by_volume") <= PEAK_HOURS)
+
+
+def rolling_average(hourly: DataFrame) -> DataFrame:
+    """Add the average trips of an hour over its last seven rows."""
+    same_hour = Window.partitionBy("pickup_hour").orderBy("pickup_date").rowsBetween(1 - ROLLING_ROWS, 0)
+    return hourly.withColumn("rolling_7d_avg_trips", X.round_half_up(F.avg("trip_count").over(same_hour), 1))
 
 
 def with_position(rows: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
@@ -59,17 +59,20 @@ def with_position(rows: DataFrame, order: Sequence[Column], name: str) -> DataFr
     reading must see the same ones.  The driver sees one count a range.  Rows that are equal in all of ``order``
     stand side by side in any order.
     """
-    names = set(rows.columns)
-    at, part, before = (free_name(names, n) for n in ("_at", "_part", "_before"))
+    return _placed(rows, order, name)[0]
+
+
+def _placed(rows: DataFrame, order: Sequence[Column], name: str) -> tuple[DataFrame, int]:
+    """As :func:`with_position`, and the number of rows."""
+    at = free_name(rows.columns, "_at")
     in_order = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
     kept = staged(in_order, "in-order")
     # the id holds the number of the range above 33 bits and the row's number in it below
-    inside = F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
-    kept = kept.withColumn(part, F.shiftright(at, 33))
-    counts = sorted((r[part], r["n"]) for r in kept.groupBy(part).agg(F.count("*").alias("n")).collect())
-    starts = list(accumulate((n for _, n in counts), initial=0))
-    places = rows.sparkSession.createDataFrame([(p, s) for (p, _), s in zip(counts, starts)], f"{part} long, {before} long")
-    return kept.join(places, part).withColumn(name, F.col(before) + inside).drop(at, part, before)
+    part, inside = F.shiftright(at, 33), F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    counts = {r["part"]: r["n"] for r in kept.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    starts = list(accumulate((counts.get(p, 0) for p in range(max(counts, default=-1) + 1)), initial=0))
+    before = F.get(F.array(*[F.lit(s).cast("bigint") for s in starts]), part.cast("int"))
+    return kept.withColumn(name, before + inside).drop(at), starts[-1]
 
 
 def rank_zones(stats: DataFrame) -> DataFrame:
@@ -85,25 +88,25 @@ def rank_zones(stats: DataFrame) -> DataFrame:
         for k, m in enumerate(metrics.values())
     ]
     long = stats.select("location_id", F.inline(F.array(*orders)))
-    placed = with_position(long, [F.col("k"), F.desc("value"), zone], "place")
+    placed, rows = _placed(long, [F.col("k"), F.desc("value"), zone], "place")
+    zones = rows // len(metrics)
     by_zone = placed.groupBy("location_id").agg(
         F.first("zone_row", ignorenulls=True).alias("zone_row"),
         *[F.max(F.when(F.col("k") == k, F.col("place"))).alias(name) for k, name in enumerate(metrics)],
     )
     # zones that earn as much as this one or more: the last place of those that earn the same
     same = placed.filter("k = 0").groupBy(F.col("value").alias("same_value")).agg((F.max("place") + 1).alias("at_least"))
-    zones = placed.filter("k = 0").agg(F.count("*").alias("n")).scalar()
     rank = F.col("revenue_rank")
     tier = F.coalesce(
         *[F.when(rank <= limit, F.lit(label)) for limit, label in REVENUE_TIERS],
         F.lit(REVENUE_TIER_DEFAULT),
     )
-    counted = by_zone.withColumn("zones", zones).join(same, F.col("zone_row.total_revenue").eqNullSafe(F.col("same_value")))
-    behind = F.when(F.col("zones") > 1, (F.col("zones") - F.col("at_least")) / (F.col("zones") - 1)).otherwise(F.lit(0.0))
+    counted = by_zone.join(same, F.col("zone_row.total_revenue").eqNullSafe(F.col("same_value")))
+    behind = (zones - F.col("at_least")) * 100.0 / max(1, zones - 1)
     return counted.select(
         "zone_row.*",
-        *[(F.col(name) - k * F.col("zones") + 1).cast("int").alias(name) for k, name in enumerate(metrics)],
-        X.round_half_up(behind * 100, 1).alias("revenue_percentile"),
+        *[(F.col(name) - (k * zones - 1)).cast("int").alias(name) for k, name in enumerate(metrics)],
+        X.round_half_up(behind, 1).alias("revenue_percentile"),
     ).withColumn("revenue_tier", tier)
 
 

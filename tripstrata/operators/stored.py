@@ -22,19 +22,25 @@ def _stage(path: str) -> str:
     return f"{path.rstrip('/')}__merging"
 
 
-def finish_merge(spark: SparkSession, path: str, partition: str = "pickup_date") -> bool:
+def finish_merge(spark: SparkSession, path: str, partition: str = "pickup_date", history: bool = False) -> bool:
     """Complete a merge that stopped between staging and publishing.
 
     The stage holds the merged partitions in full, so publishing it again is
-    safe however far the first attempt got.  Returns True when there was one.
+    safe however far the first attempt got.  With ``history``, and for a table
+    that has one, it becomes a version.  Returns True when there was one.
     """
-    stage = _stage(path)
+    stage, versions = _stage(path), TableHistory(spark, path, partition)
+    history = history or files.exists(spark, versions.folder)
+    done = versions.finish() if history else False
     pending = files.is_complete(spark, stage)
-    if pending:
+    if pending and history:
+        fresh = not files.exists(spark, path)
+        versions.commit(stage, "load" if fresh else "merge", replace=fresh)
+    elif pending:
         overwrite_partitions(spark.read.parquet(stage), path, [partition], rebalance=False)
     if files.exists(spark, stage):
         files.delete(spark, stage)
-    return pending
+    return pending or done
 
 
 def merge_into_path(
@@ -54,18 +60,11 @@ def merge_into_path(
     fails, running the same merge again gives the same table.  With ``history``,
     and for a table that has one, the merge is a version of it.
     """
-    versions = TableHistory(spark, path, partition)
-    history = history or files.exists(spark, versions.folder)
-    if history:
-        versions.finish()
-        if files.exists(spark, _stage(path)):  # of a merge that stopped before its commit
-            files.delete(spark, _stage(path))
-    else:
-        finish_merge(spark, path, partition)
+    finish_merge(spark, path, partition)
     if not files.exists(spark, path):  # first load takes rows as they are
         write_parquet(updates, _stage(path) if history else path, partition_by=[partition])
         if history:
-            versions.commit(_stage(path), "load", replace=True)
+            finish_merge(spark, path, partition, history)
         return
     updates = updates.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -78,10 +77,7 @@ def merge_into_path(
         write_parquet(merged, _stage(path), partition_by=[partition])
     finally:
         updates.unpersist()
-    if history:
-        versions.commit(_stage(path), "merge", replace=False)
-    else:
-        finish_merge(spark, path, partition)
+    finish_merge(spark, path, partition, history)
 
 
 def read_change_log(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ named common table expressions.
 
 from __future__ import annotations
 
-from .registry import BOOKMARK, EXPIRE_BEFORE, LOG_MOMENT, LOG_VERSION, ROLLBACK_AT
+from .registry import BOOKMARK, EXPIRE_BEFORE, LISTED_TABLES, LOG_MOMENT, LOG_VERSION, ROLLBACK_AT
 
 
 def r(value: str, digits: int) -> str:
@@ -596,7 +596,9 @@ def oracles() -> dict[str, str]:
         "conform_text": _untidy_sql(empty="NULL", flag=None, absent="CAST(NULL AS {kind})"),
         "schema_evolution": """SELECT event_id, user_id, event_type, CAST(NULL AS DOUBLE) AS value FROM events WHERE event_id % 2 = 0
           UNION ALL SELECT event_id, CAST(NULL AS BIGINT), event_type, value FROM events WHERE event_id % 2 = 1""",
-        "file_listing": "SELECT count(*) AS rows FROM events",
+        "file_listing": " UNION ALL ".join(
+            f"SELECT '{name}' AS \"table\", '{name}.parquet' AS file_name, count(*) AS rows, TRUE AS has_bytes FROM {name}" for name in LISTED_TABLES
+        ),
         "merge_upsert_incomplete_keys": """
           WITH t AS (SELECT CASE WHEN event_id % 10 <> 0 THEN user_id END AS k, event_id, event_type FROM events WHERE event_id % 3 = 0),
           u AS (SELECT CASE WHEN event_id % 10 <> 0 THEN user_id END AS k, event_id, event_type FROM events WHERE event_id % 3 = 1)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,10 +137,16 @@ def schema_evolution(spark, sf_dir):
     return V.read_together(older, newer)
 
 
+LISTED_TABLES = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+
+
 @query
 def file_listing(spark, sf_dir):
-    """Rows behind the stored files of a table."""
-    return L.list_files(spark.read.parquet(f"{sf_dir}/events.parquet")).agg(F.sum("rows").alias("rows"))
+    """The files of several tables: a row per table and file."""
+    listed = [L.list_files(spark.read.parquet(f"{sf_dir}/{name}.parquet")).withColumn("table", F.lit(name)) for name in LISTED_TABLES]
+    files = reduce(DataFrame.unionByName, listed)
+    name = F.element_at(F.split("file_path", "/"), -1)
+    return files.select("table", name.alias("file_name"), "rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 # ---- cleaning ------------------------------------------------------------------------

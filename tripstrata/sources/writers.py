@@ -93,6 +93,17 @@ def write_table(
     writer.format("parquet").option("compression", COMPRESSION).saveAsTable(name)
 
 
+def register_table(spark: SparkSession, name: str, path: str) -> None:
+    """Make the Parquet folder ``path`` the table ``name`` of the catalog, with the partitions it holds now.
+
+    The table is a name for the folder: making it again, or dropping it, leaves the files alone.
+    """
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name.replace("`", ""), path=path, source="parquet")
+    if spark.sql(f"DESCRIBE {name}").filter("col_name = '# Partition Information'").count():
+        spark.catalog.recoverPartitions(name.replace("`", ""))
+
+
 def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 

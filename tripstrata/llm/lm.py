@@ -6,8 +6,8 @@ level k-1, the child is the last word's id at level 2 and above that its *contex
 the last word among the successors of the context without its first word.  Monotone pointers give where a
 parent's children begin.  Probabilities and back-off weights are quantised to 16 bits.
 
-The corpus is counted by Spark: tasks count n-grams of the texts that they read, as sorted arrays packed by hash
-bucket; tasks merge buckets, and tasks write each level as a row of files in the shared folder.  Workers map
+The corpus is counted by Spark: tasks count n-grams of the texts that they read, as sorted arrays packed by range of
+their parents; a task merges each range, in order, and writes it as a file of the level in the shared folder.  Workers map
 the files into memory and search them by successor search.  An n-gram is counted only if both n-grams one word shorter are kept,
 which loses none with the asked count.  The model grows with the corpus and never passes through the driver.
 
@@ -17,7 +17,7 @@ Smoothing is interpolated absolute discounting, down to a uniform share over all
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import lru_cache
 
 import numpy as np
@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .eliasfano import EliasFano
-from .scratch import new_path, staged
-from .words import LOWER, NOT_SPACE, hashes, mixed, spans, text_slices
+from .scratch import new_path
+from .words import LOWER, NOT_SPACE, hashes, spans, text_slices
 
 #: Hash of the token that ends every text.
 END = np.uint64(0x00E0D0F0E0D0F0E1)
@@ -92,29 +92,46 @@ def load(path: str) -> dict[str, np.ndarray]:
     return out
 
 
+def packed_counts(counts: np.ndarray) -> dict[str, np.ndarray]:
+    """A byte a count; those of 255 and more stand beside, by place."""
+    many = np.flatnonzero(counts >= 255)
+    return {"counts": np.minimum(counts, 255).astype(np.uint8), "many": many, "more": counts[many].astype(np.int64)}
+
+
+def unpacked_counts(file: dict[str, np.ndarray], places: np.ndarray) -> np.ndarray:
+    out = file["counts"][places].astype(np.int64)
+    large = np.flatnonzero(out == 255)
+    out[large] = file["more"][np.searchsorted(file["many"], places[large])]
+    return out
+
+
 @dataclass(frozen=True)
 class Level:
-    """Files of a level: ``keys`` (first key of each), ``offsets`` (entries before each, and all at the end)."""
+    """Files of a level: ``keys`` (first key of each), ``offsets`` (entries before each, and all at the end).
+
+    What points to the next level has files of its own, each for the entries from one of ``cuts`` to the next."""
 
     paths: tuple[str, ...]
     keys: tuple[int, ...]
     offsets: tuple[int, ...]
     width: int  # of a child
     pointers: dict = field(default_factory=dict)  # of the next level: file by number
+    cuts: tuple[int, ...] = ()
     starts: tuple[int, ...] = ()  # of the next level: children before each file's
+    most: int = 0  # children of an entry
 
     def open(self) -> OpenLevel:
-        return _opened(self.paths, self.keys, self.offsets, self.width, tuple(sorted(self.pointers.items())), self.starts)
+        return _opened(self.paths, self.keys, self.offsets, self.width, tuple(sorted(self.pointers.items())), self.cuts, self.starts)
 
 
 class OpenLevel:
-    def __init__(self, paths, keys, offsets, width, pointers, starts):
+    def __init__(self, paths, keys, offsets, width, pointers, cuts, starts):
         self.files = [load(p) for p in paths]
         self.sequences = [EliasFano.of(f) for f in self.files]
         self.keys, self.offsets, self.width = np.array(keys, np.uint64), np.array(offsets, np.int64), width
         self.pointers = {k: load(p) for k, p in pointers}
         self.pointed = {k: EliasFano.of(p) for k, p in self.pointers.items()}
-        self.starts = np.array(starts, np.int64)
+        self.cuts, self.starts = np.array(cuts, np.int64), np.array(starts, np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Places of sorted ``keys`` in the whole level, -1 where absent."""
@@ -126,28 +143,34 @@ class OpenLevel:
             out[mine] = np.where(at >= 0, at + self.offsets[k], -1)
         return out
 
-    def _each(self, places: np.ndarray, files: dict, read: Callable, out: np.ndarray) -> np.ndarray:
+    def _each(self, places: np.ndarray, cuts: np.ndarray, files: dict, read: Callable, out: np.ndarray) -> np.ndarray:
         distinct, which = np.unique(places, return_inverse=True)
-        cuts, found = np.searchsorted(distinct, self.offsets), np.zeros(len(distinct), out.dtype)
-        for k in np.flatnonzero(np.diff(cuts)):
+        ends, found = np.searchsorted(distinct, cuts), np.zeros(len(distinct), out.dtype)
+        for k in np.flatnonzero(np.diff(ends)):
             if k in files:
-                found[cuts[k] : cuts[k + 1]] = read(k, distinct[cuts[k] : cuts[k + 1]] - self.offsets[k])
+                found[ends[k] : ends[k + 1]] = read(k, distinct[ends[k] : ends[k + 1]] - cuts[k])
         return found[which]
 
-    def values(self, name: str, places: np.ndarray) -> np.ndarray:
-        kind = self.files[0][name].dtype if self.files else np.int64
-        return self._each(places, dict(enumerate(self.files)), lambda k, i: self.files[k][name][i], np.zeros(len(places), kind))
+    def _values(self, places: np.ndarray, read: Callable, kind) -> np.ndarray:
+        return self._each(places, self.offsets, dict(enumerate(self.files)), read, np.zeros(len(places), kind))
+
+    def counts(self, places: np.ndarray) -> np.ndarray:
+        return self._values(places, lambda k, i: unpacked_counts(self.files[k], i), np.int64)
+
+    def codes(self, places: np.ndarray) -> np.ndarray:
+        """Quantised probabilities."""
+        return self._values(places, lambda k, i: self.files[k]["code"][i], np.uint16)
 
     def keys_at(self, places: np.ndarray) -> np.ndarray:
-        return self._each(places, dict(enumerate(self.files)), lambda k, i: self.sequences[k].access(i) + self.keys[k], np.zeros(len(places), np.uint64))
+        return self._values(places, lambda k, i: self.sequences[k].access(i) + self.keys[k], np.uint64)
 
     def children(self, places: np.ndarray) -> np.ndarray:
         """Where the children of each entry begin in the next level."""
-        return self._each(places, self.pointers, lambda k, i: self.pointed[k].access(i).astype(np.int64) + self.starts[k], np.zeros(len(places), np.int64))
+        return self._each(places, self.cuts, self.pointers, lambda k, i: self.pointed[k].access(i).astype(np.int64) + self.starts[k], np.zeros(len(places), np.int64))
 
     def backoff(self, places: np.ndarray) -> np.ndarray:
         """log10 of what is left for words that are no child; 0 for entries without children."""
-        return restored(self._each(places, self.pointers, lambda k, i: self.pointers[k]["weight"][i], np.zeros(len(places), np.uint16)))
+        return restored(self._each(places, self.cuts, self.pointers, lambda k, i: self.pointers[k]["weight"][i], np.zeros(len(places), np.uint16)))
 
 
 @lru_cache(maxsize=8)
@@ -194,7 +217,7 @@ class Reader:
     def words(self, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ids = self.levels[0].find(distinct)
         counts = np.zeros(len(ids), np.int64)
-        counts[ids >= 0] = self.levels[0].values("counts", ids[ids >= 0])
+        counts[ids >= 0] = self.levels[0].counts(ids[ids >= 0])
         return ids, counts
 
     def keys(self, order: int, ids: np.ndarray, owner: np.ndarray, places: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -238,10 +261,9 @@ def _unplanes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.uint64)
 
 
-def counted(frame: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]], bucket_of: Callable[[np.ndarray, int], np.ndarray], finish: Callable, schema: str) -> DataFrame:
+def counted(frame: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]], bucket_of: Callable[[np.ndarray, int], np.ndarray], finish: Callable, schema: str, buckets: int) -> DataFrame:
     """Counts of 64-bit keys.  Tasks pack sorted keys and counts by bucket; one task merges each bucket and hands it
     to ``finish(bucket, keys, counts)``, which yields the rows."""
-    buckets = 1 << max(3, (int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=1).compress
@@ -286,12 +308,15 @@ def counted(frame: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[tuple
     return frame.mapInArrow(pack, "bucket int, keys binary, counts binary").repartitionById(buckets, F.col("bucket")).mapInArrow(merge, schema)
 
 
-_META = "shard int, path string, key decimal(20,0), n long, total long"
+_META = "shard int, path string, key decimal(20,0), n long, total long, pointers string, most long"
 
 
-def _meta(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.string(), pa.decimal128(20, 0), pa.int64(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["shard", "path", "key", "n", "total"])
+def _meta(shard: int, path: str, key: int, n: int, total: int, pointers: str | None = None, most: int = 0) -> pa.RecordBatch:
+    from decimal import Decimal
+
+    kinds = (pa.int32(), pa.string(), pa.decimal128(20, 0), pa.int64(), pa.int64(), pa.string(), pa.int64())
+    names = ["shard", "path", "key", "n", "total", "pointers", "most"]
+    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((shard, path, Decimal(key), n, total, pointers, most), kinds)], names=names)
 
 
 def _level(rows: list, width: int) -> Level:
@@ -300,28 +325,38 @@ def _level(rows: list, width: int) -> Level:
     return Level(tuple(r["path"] for r in rows), tuple(int(r["key"]) for r in rows), tuple(offsets), width)
 
 
+def _partitions(docs: DataFrame) -> int:
+    return 1 << max(3, (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+
+
 def _words(docs: DataFrame, path: str) -> tuple[Level, int]:
     def keys_of(batch):
         for _, _, distinct, which, _ in token_slices(batch.column(0)):
             yield distinct, np.bincount(which, minlength=len(distinct))
 
     def finish(bucket, keys, counts):
-        from decimal import Decimal
-
         name = f"{path}/1-{bucket}"
-        save(name, EliasFano.build(keys - keys[0], int(keys[-1] - keys[0]) + 1).arrays() | {"counts": counts})
-        yield _meta([(bucket, name, Decimal(int(keys[0])), len(keys), int(counts.sum()))])
+        save(name, EliasFano.build(keys - keys[0], int(keys[-1] - keys[0]) + 1).arrays() | packed_counts(counts))
+        yield _meta(bucket, name, int(keys[0]), len(keys), int(counts.sum()))
 
     top = lambda keys, buckets: (keys >> np.uint64(64 - (buckets.bit_length() - 1))).astype(np.int64)
-    rows = counted(docs, keys_of, top, finish, _META).collect()  # a row a file
+    rows = counted(docs, keys_of, top, finish, _META, _partitions(docs)).collect()  # a row a file
     return _level(rows, 0), sum(r["total"] for r in rows)
 
 
 def _next_level(docs: DataFrame, model: Model, order: int, path: str) -> Model:
-    if model.levels[-1].offsets[-1] >= 1 << (31 if order == 2 else 32):
+    """Adds a level.  The entries of the level above are cut into equal ranges; all children of a range are counted in
+    one task, in the order of their keys, so what is merged there *is* a file of the level and its pointers."""
+    above, settings = model.levels[-1], model.settings
+    entries = above.offsets[-1]
+    if entries >= 1 << (31 if order == 2 else 32):
         raise ValueError("keys hold up to 2**31 words and 2**32 pairs; raise the counts from which n-grams are kept")
-    least = model.settings.least[order - 1]
-    spark = docs.sparkSession
+    least = settings.least[order - 1]
+    buckets = max(_partitions(docs), -(-model.tokens // SHARD))
+    cuts = [b * entries // buckets for b in range(buckets + 1)]
+    # while they are counted, keys are parent * base + child; a context-relative rank is below 2**31
+    base = np.uint64(model.words if order == 2 else 1 << 31)
+    width = model.words if order == 2 else max(1, model.levels[order - 3].most)
 
     def keys_of(batch):
         reader = Reader(model)
@@ -330,87 +365,46 @@ def _next_level(docs: DataFrame, model: Model, order: int, path: str) -> Model:
             ids = np.where(counts >= least, ids, -1)[which]  # a rarer word is in no n-gram that is kept
             places = _place_all(reader, ids, owner, order - 1)
             _, keys = reader.keys(order, ids, owner, places)
-            if isinstance(keys, tuple):  # context-relative ranks are below 2**31: a context has at most as many successors
-                keys = (keys[0].astype(np.uint64) << np.uint64(31)) | keys[1].astype(np.uint64)
+            if isinstance(keys, tuple):
+                keys = keys[0].astype(np.uint64) * base + keys[1].astype(np.uint64)
             yield np.unique(keys, return_counts=True)
 
+    def bucket_of(keys, _):
+        return np.searchsorted(np.array(cuts[1:-1], np.int64), (keys // base).astype(np.int64), "right")
+
     def finish(bucket, keys, counts):
         good = counts >= least
-        if order == 2:
-            keys = (keys // np.uint64(model.words) << np.uint64(31)) | keys % np.uint64(model.words)
-        yield pa.RecordBatch.from_pydict({"key": pa.array(keys[good].astype(np.int64)), "n": pa.array(counts[good], pa.int64())})
-
-    spread = lambda keys, buckets: (mixed(keys) >> np.uint64(64 - (buckets.bit_length() - 1))).astype(np.int64)
-    kept = staged(counted(docs, keys_of, spread, finish, "key long, n long"), f"ngrams-{order}")
-    parent, child = F.shiftright("key", 31), F.col("key").bitwiseAND(F.lit((1 << 31) - 1))
-    count, width = kept.agg(F.count("*"), F.max(child) + 1).first()
-    width = model.words if order == 2 else width or 1
-    model = _pointers(kept.select(parent.alias("parent"), "n"), model, order, path)
-    if not count:
-        return Model((*model.levels, Level((), (), (0,), width)), model.tokens, model.settings)
-    settings, above = model.settings, model.levels[-1]
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from decimal import Decimal
-
-        rows = [(b.column("key").to_numpy(), b.column("n").to_numpy()) for b in batches if b.num_rows]
-        if not rows:
+        keys, counts = keys[good], counts[good]
+        if not len(keys):
             return
-        keys, counts = (np.concatenate(x) for x in zip(*rows))
-        parent, child = keys >> 31, keys & ((1 << 31) - 1)
+        parent, child = (keys // base).astype(np.int64), (keys % base).astype(np.int64)
         reader = Reader(model)
-        context = reader.levels[-1].values("counts", parent)
+        first = np.flatnonzero(np.concatenate(([True], parent[1:] != parent[:-1])))
+        children, sums = np.diff(np.append(first, len(parent))), np.add.reduceat(counts, first)
+        context = reader.levels[-1].counts(parent[first]).astype(np.float64)
+        left = quantised(np.log10((context - sums + settings.discount * children) / context))
         if order == 2:
-            lower = model.unigram(reader.levels[0].values("counts", child))
+            lower = model.unigram(reader.levels[0].counts(child))
         else:
             last = (reader.levels[-1].keys_at(parent) % np.uint64(above.width)).astype(np.int64)
-            lower = 10.0 ** restored(reader.levels[-1].values("code", reader.levels[-2].children(last) + child))
-        share = (counts - settings.discount) / context + 10.0 ** reader.levels[-1].backoff(parent) * lower
+            lower = 10.0 ** restored(reader.levels[-1].codes(reader.levels[-2].children(last) + child))
+        share = (counts - settings.discount) / np.repeat(context, children) + np.repeat(10.0 ** restored(left), children) * lower
         whole = parent.astype(np.uint64) * np.uint64(width) + child.astype(np.uint64)
-        shard = TaskContext.get().partitionId()
-        name = f"{path}/{order}-{shard}"
-        save(name, EliasFano.build(whole - whole[0], int(whole[-1] - whole[0]) + 1).arrays() | {"counts": counts.astype(np.uint32), "code": quantised(np.log10(np.minimum(1, share)))})
-        yield _meta([(shard, name, Decimal(int(whole[0])), len(whole), int(counts.sum()))])
-
-    shards = max(-(-count // SHARD), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = kept.repartitionByRange(shards, "key").sortWithinPartitions("key").mapInArrow(write, _META).collect()
-    return Model((*model.levels, _level(rows, width)), model.tokens, model.settings)
-
-
-def _pointers(children: DataFrame, model: Model, order: int, path: str) -> Model:
-    """Adds to the last level where each entry's children begin and what weight they leave to shorter contexts."""
-    above, settings = model.levels[-1], model.settings
-    offsets = np.array(above.offsets, np.int64)
-    sums = children.groupBy("parent").agg(F.count("*").alias("children"), F.sum("n").alias("n"))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            file = np.searchsorted(offsets, b.column("parent").to_numpy(), "right") - 1
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(file, pa.int32())], names=[*b.schema.names, "file"])
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [tuple(b.column(n).to_numpy() for n in ("parent", "children", "n", "file")) for b in batches if b.num_rows]
-        if not rows:
-            return
-        parent, children, n, file = (np.concatenate(x) for x in zip(*rows))
-        shard = int(file[0])
-        size, at = int(offsets[shard + 1] - offsets[shard]), parent - offsets[shard]
+        name = f"{path}/{order}-{bucket}"
+        further = packed_counts(counts) if order < settings.order else {}  # contexts of the next level
+        save(name, EliasFano.build(whole - whole[0], int(whole[-1] - whole[0]) + 1).arrays() | further | {"code": quantised(np.log10(np.minimum(1, share)))})
+        size, at = cuts[bucket + 1] - cuts[bucket], parent[first] - cuts[bucket]
         totals, weight = np.zeros(size + 1, np.int64), np.zeros(size, np.uint16)
-        totals[at + 1] = children
+        totals[at + 1], weight[at] = children, left
         totals = np.cumsum(totals)
-        context = model.levels[-1].open().values("counts", parent).astype(np.float64)
-        weight[at] = quantised(np.log10((context - n + settings.discount * children) / context))
-        name = f"{path}/{order - 1}-{shard}-pointers"
-        save(name, EliasFano.build(totals, int(totals[-1]) + 1).arrays() | {"weight": weight})
-        yield _meta([(shard, name, None, size, int(totals[-1]))])
-
-    files = max(1, len(above.paths))
-    placed = sums.mapInArrow(place, "parent long, children long, n long, file int")
-    rows = placed.repartitionById(files, F.col("file")).mapInArrow(write, _META).collect()
+        save(f"{name}-pointers", EliasFano.build(totals, int(totals[-1]) + 1).arrays() | {"weight": weight})
+        yield _meta(int(bucket), name, int(whole[0]), len(whole), len(whole), f"{name}-pointers", int(children.max()))
+
+    rows = counted(docs, keys_of, bucket_of, finish, _META, buckets).collect()  # a row a file
     totals = {r["shard"]: r["total"] for r in rows}
-    starts = np.concatenate(([0], np.cumsum([totals.get(k, 0) for k in range(files)]))).astype(np.int64).tolist()
-    level = Level(above.paths, above.keys, above.offsets, above.width, {r["shard"]: r["path"] for r in rows}, tuple(starts))
-    return Model((*model.levels[:-1], level), model.tokens, settings)
+    starts = np.concatenate(([0], np.cumsum([totals.get(k, 0) for k in range(buckets)]))).astype(np.int64).tolist()
+    pointing = replace(above, pointers={r["shard"]: r["pointers"] for r in rows}, cuts=tuple(cuts), starts=tuple(starts), most=max((r["most"] for r in rows), default=0))
+    return Model((*model.levels[:-1], pointing, _level(rows, width)), model.tokens, settings)
 
 
 def train(docs: DataFrame, text: str = "text", settings: Settings = Settings()) -> Model:
@@ -449,7 +443,7 @@ def _scores(model: Model, texts: pa.Array) -> dict[str, np.ndarray]:
             some = np.flatnonzero(context >= 0)
             log[some] += reader.levels[order - 2].backoff(context[some])
             found = np.flatnonzero(places[order - 1] >= 0)
-            log[found] = restored(reader.levels[order - 1].values("code", places[order - 1][found]))
+            log[found] = restored(reader.levels[order - 1].codes(places[order - 1][found]))
         out["score"].append(np.bincount(owner, log, size))
     return {n: np.concatenate(v) if v else np.zeros(0) for n, v in out.items()}
 

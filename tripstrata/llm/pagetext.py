@@ -1,8 +1,9 @@
 """Main text of web pages: site templates found by counting element subtrees per host.
 
-One pass hashes the subtree of every element that is not navigation or the like by its own tag, class or role.
-Spark counts, per host, on how many different pages each subtree stands.  A second pass drops the subtrees that
-recur on a large share of the host's pages and returns the blocks of what is left.
+One pass hashes the subtree of every element that is not navigation or the like by its own tag, class or role, and
+every block of text outside article and main elements, whatever elements it is made of.  Spark counts, per host, on
+how many different pages each of them stands.  A second pass drops those that recur on many of the host's pages and
+returns the blocks of what is left.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from .scratch import staged
 
-#: A subtree is template if it stands on at least this many different pages of its host and this share of them.
+#: A subtree is template if it stands on at least this many different pages of its host; inside an article or main
+#: element it must also stand on this share of them, as texts quote each other.
 MIN_PAGES = 5
 MIN_SHARE = 0.3
 #: Up to this many template subtrees over all hosts, the table is broadcast (16 bytes each); above, it is joined.
@@ -89,6 +91,11 @@ def surrounds(tag: str, attributes: str) -> bool:
     return False
 
 
+def digest_of(kind: str, text: str, inside: bool) -> int:
+    """A 63-bit name; the lowest bit tells whether it stands inside an article or main element."""
+    return (xxhash.xxh3_64_intdigest(f"{kind}\0{text}") >> 2) << 1 | inside
+
+
 class Element:
     __slots__ = ("article", "first", "outside", "parts", "tag")
 
@@ -174,7 +181,7 @@ class Page:
             return
         block = done.tag not in INLINE
         if done.tag not in CONTAINERS and any(not p.isspace() for p in done.parts):
-            digest = xxhash.xxh3_64_intdigest(f"{done.tag}\0{' '.join(' '.join(done.parts).split())}") >> 1
+            digest = digest_of(done.tag, " ".join(" ".join(done.parts).split()), self.open[-1].article)
             self.open[-1].parts.append(f"\1{digest}")
             if block:
                 self.subtrees.add(digest)
@@ -185,21 +192,33 @@ class Page:
         if block:
             self.pieces.append((None, self.open[-1].article, False))
 
-    def blocks(self) -> list[str]:
-        """Blocks in page order: those of the article or main element where there is one with text, or else all
-        but lines that consist of links alone."""
-        inside = any(article and text and not text.isspace() for text, article, _ in self.pieces)
-        out, texts, linked = [], [], True
+    def lines(self) -> Iterator[tuple[str, bool, bool]]:
+        """(text, inside article or main, of links alone) of each block with text, in page order."""
+        texts, linked, within = [], True, False
         for text, article, link in [*self.pieces, (None, False, False)]:
-            if text is None:
-                block = " ".join(unescape("".join(texts)).split())
-                if block and (inside or not linked):
-                    out.append(block)
-                texts, linked = [], True
-            elif article or not inside:
+            if text is None or article != within:
+                line = " ".join(unescape("".join(texts)).split())
+                if line:
+                    yield line, within, linked
+                texts, linked, within = [], True, article
+            if text is not None:
                 texts.append(text)
                 linked = linked and (link or text.isspace())
-        return out
+
+    def digests(self) -> set[int]:
+        """What is counted: the subtrees of block elements, and blocks of text outside article and main."""
+        return self.subtrees | {digest_of("#block", line, False) for line, within, _ in self.lines() if not within}
+
+    def blocks(self) -> list[str]:
+        """Blocks in page order: those of the article or main element where there is one with text, or else all
+        but templates and lines that consist of links alone."""
+        lines = list(self.lines())
+        inside = any(within for _, within, _ in lines)
+        return [
+            line
+            for line, within, linked in lines
+            if (within if inside else not linked and not (self.templates and digest_of("#block", line, False) in self.templates))
+        ]
 
 
 def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +227,7 @@ def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
             host = host_key(url)
             if host and html:
-                found = Page(html).subtrees
+                found = Page(html).digests()
                 page = xxhash.xxh3_64_intdigest(b"".join(d.to_bytes(8, "little") for d in sorted(found))) >> 1
                 hosts += [host] * (len(found) + 1)
                 subtrees += [0, *found]
@@ -222,18 +241,20 @@ def template_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: f
     rows = pages.select("url", "html").mapInArrow(_subtree_rows, "host long, subtree long, page long").distinct()
     counts = rows.groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
     hosts = counts.filter("subtree = 0").select("host", F.col("n").alias("pages"))
-    return counts.filter("subtree <> 0").join(hosts, "host").filter(F.col("n") >= min_share * F.col("pages")).select("host", "subtree")
+    outside = F.col("subtree") % 2 == 0
+    return counts.filter("subtree <> 0").join(hosts, "host").filter(outside | (F.col("n") >= min_share * F.col("pages"))).select("host", "subtree")
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, limit: int = BROADCAST_TEMPLATES) -> DataFrame:
     """Per row: page_id, url, text, n_chars.
 
-    Null html is empty text.  A page without a host has no site, so no template.  Rows with equal or null ids stay
+    Null html is empty text.  A page without a host has no site, so no template; neither has a host with fewer than
+    ``min_pages`` different pages.  Rows with equal or null ids stay
     apart; other columns are not read; an empty table gives none.
     """
     spark = pages.sparkSession
     rows = staged(template_subtrees(pages, min_pages, min_share), "templates")
-    # a host has at most (subtrees a page) / min_share templates, so its list is short; the number of hosts is checked
+    # a host has at most its subtrees / min_pages templates; the number over all hosts is checked
     found = rows.groupBy("host").agg(F.collect_list("subtree").alias("subtrees"))
     small = rows.count() <= limit
     known = found.collect() if small else []

@@ -3,8 +3,10 @@
 A unit vector ``o`` is rotated at random and kept as its signs, ``c`` (a unit vector too), with the factor
 ``<c, o>``.  For another unit vector ``q``, ``<c, q> / <c, o>`` is an unbiased estimate of ``<o, q>`` over
 rotations, and for a true value of t its error has a deviation of sqrt((1 - f**2) / f**2 * (1 - t**2) / (D - 1)).
-Pairs whose estimate lies more than ``SURE`` deviations below the limit are dropped; all others are computed again
-in double precision.
+``q`` is kept too, rotated and rounded to four bits an entry with a fixed dither, which keeps the estimate unbiased
+and adds to its deviation.  Each vector is coded once, to five bits an entry and four numbers, and codes alone go
+through the tables below.  Pairs whose estimate lies more than ``SURE`` deviations below the limit are dropped; the
+vectors of the others are fetched, and these pairs computed again in double precision.
 
 Pairs are looked for within tables of buckets.  A table's key is a few signs of random projections; their number
 grows with the logarithm of a label's vectors, so buckets stay about the same size, and the number of tables
@@ -52,6 +54,13 @@ def rotation(dim: int) -> np.ndarray:
     return (q * np.sign(np.diag(r))).astype(np.float32)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times a power of two that brings their largest component near one: the same cosines, to the last bit,
+    from norms that neither overflow nor vanish."""
+    largest = np.abs(vectors).max(axis=1, initial=0.0)
+    return np.ldexp(vectors, -np.frexp(largest)[1][:, None])
+
+
 def codes(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes (entries +-1/sqrt(D)) in the rotated frame, and the correction factors <c, o>."""
     turned = unit @ rotation(unit.shape[1])
@@ -59,6 +68,48 @@ def codes(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code, np.einsum("ij,ij->i", code, turned)
 
 
+#: Levels of a rounded entry.
+LEVELS = 16
+
+
+@lru_cache(maxsize=8)
+def dither(dim: int) -> np.ndarray:
+    return np.random.default_rng(20_000 + dim).random(dim).astype(np.float32)
+
+
+def encoded(vectors: np.ndarray) -> dict[str, np.ndarray]:
+    """What is kept of each vector: ``signs`` (a bit an entry) and their ``factor``, and ``levels`` (four bits an entry)
+    with the ``low`` and the ``step`` of its rounded entries."""
+    unit = (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32)
+    turned, dim = unit @ rotation(unit.shape[1]), unit.shape[1]
+    low = turned.min(axis=1)
+    step = np.maximum((turned.max(axis=1) - low) / (LEVELS - 1), np.finfo(np.float32).tiny)
+    level = np.clip(np.floor((turned - low[:, None]) / step[:, None] + dither(dim)), 0, LEVELS - 1).astype(np.uint8)
+    level = np.pad(level, ((0, 0), (0, dim % 2)))
+    return {
+        "signs": np.packbits(turned >= 0, axis=1),
+        "factor": np.abs(turned).sum(axis=1) / np.float32(math.sqrt(dim)),
+        "levels": level[:, 0::2] | level[:, 1::2] << 4,
+        "low": low,
+        "step": step,
+    }
+
+
+def open_pairs(left: dict[str, np.ndarray], right: dict[str, np.ndarray], dim: int, limit: float = LIMIT) -> np.ndarray:
+    """Which pairs of two sides' codes can have a cosine of ``limit``: those whose estimate is not surely below."""
+    if dim <= 8:  # too short for deviations to mean much
+        return np.ones((len(left["signs"]), len(right["signs"])), bool)
+    level = np.stack((left["levels"] & 15, left["levels"] >> 4), 2).reshape(len(left["levels"]), -1)[:, :dim]
+    entries = left["low"][:, None] + left["step"][:, None] * level.astype(np.float32)
+    signs = np.unpackbits(right["signs"], axis=1)[:, :dim].astype(np.float32) * 2 - 1
+    factor = right["factor"]
+    estimate = entries @ signs.T / (factor * np.float32(math.sqrt(dim)))
+    turn = np.maximum(0, 1 - factor**2) / factor**2 * (1 - limit**2) / max(1, dim - 1)
+    rounding = (left["step"] / 2) ** 2  # variance of a dithered entry, at most; the signs' weights add up to one
+    spread = np.sqrt(turn[None, :] + rounding[:, None] / factor[None, :] ** 2)
+    return estimate >= limit - SURE * spread - 1e-4
+
+
 def close_pairs(left: np.ndarray, right: np.ndarray, limit: float = LIMIT) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (i, j) with a cosine of at least ``limit``; all inputs in double precision."""
     scale = [np.linalg.norm(x, axis=1) for x in (left, right)]
@@ -84,8 +135,7 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values = None
             if vector.is_valid and label is not None and vector.values.null_count == 0:
                 values = vector.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                norm = float(values @ values) if len(values) else 0.0
-                if not (np.isfinite(norm) and norm > 0 and np.isfinite(values).all()):
+                if not (len(values) and np.isfinite(values).all() and values.any()):
                     values = None
             dims.append(0 if values is None else len(values))
             # adding zero turns -0.0 into 0.0
@@ -97,13 +147,23 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.values.to_numpy(zero_copy_only=False).reshape(-1, dim) if len(column) else np.zeros((0, dim))
 
 
+CODES = {"signs": pa.binary(), "levels": pa.binary(), "factor": pa.float32(), "low": pa.float32(), "step": pa.float32()}
+_CODE_SCHEMA = "signs binary, levels binary, factor float, low float, step float"
+
+
+def _rows_of(matrix: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.array([row.tobytes() for row in matrix], kind) if matrix.ndim == 2 else pa.array(matrix, kind)
+
+
 def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each table: ``tab``, ``bucket`` and the buckets of all tables, by which a pair is counted once."""
+    """A row for each table: the vector's code, ``tab``, ``bucket`` and the buckets of all tables, by which a pair is counted once."""
     for batch in batches:
         for dim, bits in sorted({*zip(batch.column("dim").to_pylist(), batch.column("bits").to_pylist())}):
             part = batch.filter(pa.array((batch.column("dim").to_numpy() == dim) & (batch.column("bits").to_numpy() == bits)))
             count = tables(bits)
-            vectors = np.stack(part.column("vector").to_pylist()) if part.num_rows else np.zeros((0, dim))
+            vectors = scaled(np.stack(part.column("vector").to_pylist()).astype(np.float64)) if part.num_rows else np.zeros((0, dim))
+            kept = encoded(vectors)
+            code = {name: _rows_of(kept[name], kind) for name, kind in CODES.items()}
             signs = vectors.astype(np.float32) @ planes(dim, max(1, bits * count)) >= 0
             found = np.zeros((part.num_rows, count), np.int32)
             for t in range(count):
@@ -112,13 +172,57 @@ def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen = pa.array([row.tobytes() for row in found], pa.binary())
             for t in range(count):
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(n) for n in ("label", "dim", "id", "copies", "vector")), pa.array(np.full(part.num_rows, t), pa.int32()), pa.array(found[:, t]), seen],
-                    names=["label", "dim", "id", "copies", "vector", "tab", "bucket", "seen"],
+                    [*(part.column(n) for n in ("label", "dim", "id", "copies")), *code.values(), pa.array(np.full(part.num_rows, t), pa.int32()), pa.array(found[:, t]), seen],
+                    names=["label", "dim", "id", "copies", *code, "tab", "bucket", "seen"],
                 )
 
 
+_WHERE = ("label", "dim", "tab", "bucket", "low_block", "high_block")
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Codes sorted by pair of blocks -> those rows, without their codes, that are in a pair which may be close."""
+    key, parts = None, []
+
+    def wanted() -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        block, dim, same = rows.column("block").to_numpy(), key[1], key[4] == key[5]
+        sides = [np.flatnonzero(block == b) for b in ((key[4],) if same else (key[4], key[5]))]
+        left, right = sides[0], sides[-1]
+        if not len(left) or not len(right):
+            return
+
+        def code(at):
+            part = rows.take(pa.array(at))
+            flat = {n: np.frombuffer(b"".join(part.column(n).to_pylist()), np.uint8).reshape(len(at), -1) for n in ("signs", "levels")}
+            return flat | {n: part.column(n).to_numpy() for n in ("factor", "low", "step")}
+
+        may = open_pairs(code(left), code(right), dim)
+        if same:
+            may = np.triu(may, 1)
+        chosen = np.concatenate((left[may.any(axis=1)], right[may.any(axis=0)]))
+        if len(chosen):
+            yield from rows.select([*_WHERE, "block", "id", "copies", "seen"]).take(pa.array(np.unique(chosen))).to_batches()
+
+    for batch in batches:
+        columns = list(zip(*(batch.column(n).to_pylist() for n in _WHERE)))
+        at = 0
+        while at < len(columns):
+            end = at + 1
+            while end < len(columns) and columns[end] == columns[at]:
+                end += 1
+            if columns[at] != key:
+                if parts:
+                    yield from wanted()
+                key, parts = columns[at], []
+            parts.append(batch.slice(at, end - at))
+            at = end
+    if parts:
+        yield from wanted()
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (label, dim, tab, bucket, low, high) -> (id, links, root) of each task's pairs."""
+    """Vectors sorted by pair of blocks -> (id, links, root) of each task's pairs."""
     key, rows = None, []
 
     def solved():
@@ -127,7 +231,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = sides[0], sides[-1]
         if not left or not right:
             return
-        i, j = close_pairs(*(np.array([r[3] for r in s], np.float64) for s in (left, right)))
+        i, j = close_pairs(*(scaled(np.array([r[3] for r in s], np.float64)) for s in (left, right)))
         if low == high:
             i, j = i[i < j], j[i < j]
         if len(i) and tab:
@@ -151,7 +255,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        columns = [batch.column(n).to_pylist() for n in ("label", "dim", "tab", "bucket", "low", "high")]
+        columns = [batch.column(n).to_pylist() for n in _WHERE]
         vectors = batch.column("vector")
         values = vectors.flatten().to_numpy(zero_copy_only=False)
         cuts = np.cumsum([0, *columns[1]])
@@ -181,13 +285,15 @@ def vector_links(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.count("*") / bucket))).cast("int")
     plan = distinct.groupBy("label", "dim").agg(bits.alias("bits"))
     spread = distinct.join(plan, ["label", "dim"]).select("label", "dim", "id", "copies", "vector", "bits")
-    placed = staged(spread.mapInArrow(_bucketed, f"label {label_kind}, dim int, id long, copies long, vector array<{kind}>, tab int, bucket int, seen binary"), "buckets")
-    where = ["label", "dim", "tab", "bucket"]
+    placed = staged(spread.mapInArrow(_bucketed, f"label {label_kind}, dim int, id long, copies long, {_CODE_SCHEMA}, tab int, bucket int, seen binary"), "buckets")
+    where, order = ["label", "dim", "tab", "bucket"], list(_WHERE)
     sizes = placed.groupBy(*where).agg(F.count("*").alias("n")).filter("n > 1").select(*where, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     cut = placed.join(sizes, where).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    order = [*where, "low", "high"]
-    found = paired.select(*order, "block", "id", "copies", "vector", "seen").repartition(*order).sortWithinPartitions(*order).mapInArrow(_linked, "id long, links long, root long")
+    paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"low_block": F.least("block", "other"), "high_block": F.greatest("block", "other")})
+    coded = paired.select(*order, "block", "id", "copies", "seen", *CODES).repartition(*order).sortWithinPartitions(*order)
+    asked = staged(coded.mapInArrow(_asked, f"label {label_kind}, dim int, tab int, bucket int, low_block int, high_block int, block int, id long, copies long, seen binary"), "asked")
+    fetched = asked.join(distinct.select("id", "vector"), "id")
+    found = fetched.select(*order, "block", "id", "copies", "vector", "seen").repartition(*order).sortWithinPartitions(*order).mapInArrow(_linked, "id long, links long, root long")
     found = staged(found, "vector-links")
     component = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))

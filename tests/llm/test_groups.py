@@ -8,6 +8,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus_rows import docs, none, rows  # noqa: F401
 
@@ -105,6 +106,18 @@ def crooked_vectors():
     return rows
 
 
+def test_components_in_one_forest_and_by_rounds(spark, monkeypatch):
+    r = random.Random(4)
+    edges = [(i, i + 1) for i in range(1, 300) if i % 60] + [(r.randrange(1000, 1400), r.randrange(1000, 1400)) for _ in range(250)]
+    expected = {i: n for i, n in smallest_reachable({i for e in edges for i in e}, edges).items() if any(i in e and e[0] != e[1] for e in edges)}
+    frame, written = spark.createDataFrame(edges, "a long, b long").repartition(7), []
+    monkeypatch.setattr(graph, "staged", lambda frame, name: written.append(name) or scratch.staged(frame, name))
+    assert {r["node"]: r["label"] for r in graph.components(frame).collect()} == expected
+    assert written == ["forest", "labels"]  # no rounds over all partitions for few edges
+    assert {r["node"]: r["label"] for r in graph.components(frame, task_edges=10).collect()} == expected
+    assert len(written) > 4
+
+
 @pytest.mark.parametrize("options", [{}, {"block": 16}, {"bucket": 20, "block": 30}])
 def test_vector_links_against_brute_force(spark, options):
     rows = crooked_vectors()
@@ -304,6 +317,23 @@ def test_quality_of_crooked_rows(spark, docs, rows, none):
     assert quality.good_documents(docs, labels).columns == docs.columns
 
 
+def test_fitting_holds_the_sample_once(spark, monkeypatch):
+    r = random.Random(5)
+    rows = [(i, " ".join(f"w{r.randrange(5000)}" for _ in range(1500))) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    before, held = pa.total_allocated_bytes(), []
+
+    def fit(sample, settings):
+        held.append((pa.total_allocated_bytes() - before, sum(s.nbytes + v.nbytes for s, v, _ in sample)))
+        assert [y for _, _, y in sample] == [i % 2 for i, _ in rows]
+        return quality.Model(settings, np.zeros(1), 0.0)
+
+    monkeypatch.setattr(quality, "fit_ftrl", fit)
+    quality.fit(frame, labels)
+    assert held[0][1] > 1_000_000 and held[0][0] < 1.5 * held[0][1]
+
+
 def test_pipeline_stages_follow_each_other(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     names = docs.columns

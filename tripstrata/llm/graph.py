@@ -61,14 +61,32 @@ def forest(edges: DataFrame) -> DataFrame:
     return edges.repartition("x").mapInArrow(run, edges.schema)
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def _roots(edges: DataFrame) -> DataFrame:
+    """(node, label) of all nodes of a task's edges (x, y), by one forest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees, kind = Forest(), None
+        for batch in batches:
+            kind = batch.schema.field("x").type
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                trees.join(x, y)
+        if kind is not None:
+            nodes = list(trees.above)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array([trees.root(x) for x in nodes], kind)], names=["node", "label"])
+
+    return edges.mapInArrow(run, edges.select(F.col("x").alias("node"), F.col("y").alias("label")).schema)
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", task_edges: int = FOREST_NODES // 2) -> DataFrame:
     """(node, label): the smallest node reachable over ``edges``, for every node that has one.
 
-    Edges are brought down to forests in tasks first.  Each round takes the smallest label among neighbours and then
-    the label of the label, so paths halve; rounds are written to the shared folder.  Hubs are summed in tasks first,
-    and joins on them can be split.
+    Edges are brought down to forests in tasks first.  Up to ``task_edges`` edges that are left fit into one more forest, which
+    ends there.  With more, each round takes the smallest label among neighbours and then the label of the label, so paths
+    halve; rounds are written to the shared folder.  Hubs are summed in tasks first, and joins on them can be split.
     """
-    trees = forest(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).filter("x <> y"))
+    trees = staged(forest(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).filter("x <> y")), "forest")
+    if trees.count() <= task_edges:
+        return staged(_roots(trees.coalesce(1)), "labels")
     pairs = staged(trees.withColumn("both", F.explode(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))))).select("both.*").distinct(), "edges")
     labels = staged(pairs.groupBy("x").agg(F.min("y").alias("low")).select(F.col("x").alias("node"), F.least("x", "low").alias("label")), "labels")
     while True:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -152,10 +153,22 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 )
 
     kind = docs.schema[key].dataType.simpleString()
-    table = joined.mapInArrow(run, f"k {kind}, y int, slots array<int>, vals array<float>").toArrow().sort_by([("k", "ascending"), ("y", "ascending")])
-    slots, values = table.column("slots").combine_chunks(), table.column("vals").combine_chunks()
-    cuts, flat, weights = slots.offsets.to_numpy(), slots.values.to_numpy(), values.values.to_numpy()
-    return fit_ftrl([(flat[a:b], weights[a:b], y) for a, b, y in zip(cuts, cuts[1:], table.column("y").to_pylist())], settings)
+    table = joined.mapInArrow(run, f"k {kind}, y int, slots array<int>, vals array<float>").toArrow()
+    model = fit_ftrl(_in_order(table), settings)
+    del table
+    pa.default_memory_pool().release_unused()  # else the driver keeps the sample's memory for good
+    return model
+
+
+def _in_order(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """(slots, values, label) of the rows of (k, y, slots, vals) by key and label, as views of the table's own memory."""
+    rows = []
+    for batch in table.to_batches():
+        slots, values = batch.column("slots"), batch.column("vals")
+        cuts, flat, weights = slots.offsets.to_numpy(), slots.values.to_numpy(), values.values.to_numpy()
+        begin = values.offsets.to_numpy()
+        rows += [(flat[a:b], weights[c : c + b - a], y) for a, b, c, y in zip(cuts, cuts[1:], begin, batch.column("y").to_pylist())]
+    return [rows[i] for i in pc.sort_indices(table.select(["k", "y"]), [("k", "ascending"), ("y", "ascending")]).to_pylist()]
 
 
 def in_fold(key: Column, folds: int = 5, fold: int = 0) -> Column:

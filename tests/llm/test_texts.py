@@ -147,6 +147,38 @@ def test_store_that_forgets_gives_the_same_ids():
         assert small.encode(data, starts, ends)[0].tolist() == bpe.load(bpe.path()).encode(text, add_special_tokens=False).ids
 
 
+def test_runs_of_marks_are_encoded_once():
+    library = bpe.Tokenizer.from_file(bpe.path())
+
+    class Counted:
+        asked = []
+
+        @property
+        def model(self):
+            return self
+
+        def tokenize(self, part):
+            self.asked.append(part)
+            return library.model.tokenize(part)
+
+    pieces = ["one,", "Two,", "three,", '."', "caf\u00c9,", "one"]
+    assert bpe.encode_pieces(Counted(), pieces) == [library.encode(p, add_special_tokens=False).ids for p in pieces]
+    assert Counted.asked.count(",") == 1
+
+
+def test_pieces_that_meet_in_the_table_are_told_apart():
+    store = bpe.PieceStore(bpe.path())
+    r = random.Random(6)
+    keys = np.array([7 << 48 | i for i in range(1, 400)] + [0, 2**64 - 1] + [r.randrange(2**64) for _ in range(200_000)], np.uint64)
+    keys = np.unique(keys)
+    number = np.arange(len(keys))
+    for some in np.array_split(np.random.default_rng(7).permutation(len(keys)), 9):
+        store._put(keys[some], number[some], np.ones(len(some), np.int32))
+    at = store._found(keys)
+    assert (store.first[at] == number).all() and (store.count[at] == 1).all() and (store.count >= 0).sum() == len(keys)
+    assert (store.count[store._found(keys[5:9] + np.uint64(1 << 20))] < 0).all()
+
+
 def test_counts_and_every_prefix(docs, rows):
     encode = lambda t: bpe.load(bpe.path()).encode(t, add_special_tokens=False).ids
     got = pairs(counts.count_report(docs), "doc_id", "n_bytes", "n_tokens", "over_limit")

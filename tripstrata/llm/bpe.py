@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 from .words import NOT_SPACE, SLICE_BYTES, hashes, spans, text_slices
 
 VOCABULARY = "word_bpe_49k.json"
-#: Ids are kept for up to this many pieces, then the store starts anew: about 60 MB a worker.
+#: Ids are kept for up to this many pieces, then the store starts anew: about 90 MB a worker.
 KEPT_PIECES = 1_500_000
 
 
@@ -39,17 +39,33 @@ _SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _AS_CHARACTER = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
+#: Ids are kept for up to this many runs of marks, then anew.
+KEPT_MARKS = 50_000
+
+
+@lru_cache(maxsize=2)
+def _marks(tokenizer: Tokenizer) -> dict[str, list[int]]:
+    """Ids of runs of marks met lately, which are few.  One a worker process."""
+    return {}
+
+
 def encode_pieces(tokenizer: Tokenizer, pieces: list[str]) -> list[list[int]]:
     """Ids of pieces without white space.  Letters followed by marks go to the library's BPE model directly, in
     lower case; whatever else a piece holds goes through the whole tokenizer."""
-    model, out, other = tokenizer.model, [], []
+    model, known, out, other = tokenizer.model, _marks(tokenizer), [], []
     for i, piece in enumerate(pieces):
         plain = _PLAIN.fullmatch(piece)
         ids: list[int] = []
         if plain:
-            for part in plain.groups():
-                if part:
-                    ids += [t.id for t in model.tokenize(part if part.isascii() and part.islower() else part.lower().encode("utf-8").decode("latin-1").translate(_AS_CHARACTER))]
+            letters, marks = plain.groups()
+            if letters:
+                ids = [t.id for t in model.tokenize(letters.lower() if letters.isascii() else letters.lower().encode("utf-8").decode("latin-1").translate(_AS_CHARACTER))]
+            if marks:
+                if marks not in known:
+                    if len(known) >= KEPT_MARKS:
+                        known.clear()
+                    known[marks] = [t.id for t in model.tokenize(marks)]
+                ids = ids + known[marks]
         else:
             other.append(i)
         out.append(ids)
@@ -60,16 +76,21 @@ def encode_pieces(tokenizer: Tokenizer, pieces: list[str]) -> list[list[int]]:
 
 
 class PieceStore:
-    """Ids of pieces in one growing array, found by hash in a large sorted table and a small recent one."""
+    """Ids of pieces in one growing array, found by hash in an open-addressing table of numpy columns."""
 
     def __init__(self, file: str, kept: int = KEPT_PIECES):
         self.tokenizer, self.kept = load(file), kept
         self.clear()
 
     def clear(self) -> None:
-        nothing = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32))  # hash, first id, number of ids
-        self.tables = [nothing, nothing]
-        self.ids = np.zeros(0, np.int32)
+        self.used, self.n_ids = 0, 0
+        self.ids = np.zeros(1 << 16, np.int32)
+        self._make(1 << 16)
+
+    def _make(self, size: int) -> None:
+        """An empty table of ``size`` places, a power of two: hash, first id, number of ids (-1: free)."""
+        self.keys, self.first, self.count = np.zeros(size, np.uint64), np.zeros(size, np.int64), np.full(size, -1, np.int32)
+        self.shift = np.uint64(64 - (size.bit_length() - 1))
 
     def listed(self, pieces: list[str]) -> list[list[int]]:
         """What is kept for each piece."""
@@ -77,51 +98,78 @@ class PieceStore:
 
     def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces one after the other, number of ids of each piece)."""
-        first, count, which = self.lookup(data, starts, ends)
-        first, count = first[which], count[which]
-        step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        return self.ids[np.repeat(first, count) + step], count
+        at = self.places(hashes(data, starts, ends), data, starts, ends)
+        first, count = self.first[at], self.count[at].astype(np.int64)
+        before = np.cumsum(count)
+        return self.ids[np.repeat(first - (before - count), count) + np.arange(int(before[-1]) if len(before) else 0)], count
 
     def id_counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
-        """How often each id occurs, from the distinct pieces and their numbers."""
-        first, count, which = self.lookup(data, starts, ends)
-        step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        times = np.repeat(np.bincount(which, minlength=len(first)), count)
-        return np.bincount(self.ids[np.repeat(first, count) + step], times, size).astype(np.int64)
+        """How often each id occurs."""
+        return np.bincount(self.encode(data, starts, ends)[0], minlength=size)
 
     def counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        _, count, which = self.lookup(data, starts, ends)
-        return count[which]
+        return self.count[self.places(hashes(data, starts, ends), data, starts, ends)].astype(np.int64)
 
     def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First id and number of ids of the distinct pieces, and each piece's index among them."""
         keys, example, which = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.tables[0][0]) + len(self.tables[1][0]) > self.kept:
+        at = self.places(keys, data, starts[example], ends[example])
+        return self.first[at], self.count[at].astype(np.int64), which
+
+    def places(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The table's place of each piece, whose hashes are ``keys``; new pieces are encoded and put there."""
+        if self.used > self.kept:
             self.clear()
-        first, count = np.zeros(len(keys), np.int64), np.full(len(keys), -1, np.int64)
-        for table in self.tables:
-            at = np.searchsorted(table[0], keys)
-            at[at == len(table[0])] = 0
-            if len(table[0]):
-                hit = table[0][at] == keys
-                first[hit], count[hit] = table[1][at[hit]], table[2][at[hit]]
-        new = np.flatnonzero(count < 0)
+        at = self._found(keys)
+        new = np.flatnonzero(self.count[at] < 0)
         if len(new):
+            fresh, example = np.unique(keys[new], return_index=True)
+            example = new[example]
             raw = data.tobytes()
-            lists = self.listed([raw[a:b].decode("utf-8") for a, b in zip(starts[example[new]].tolist(), ends[example[new]].tolist())])
-            count[new] = np.fromiter(map(len, lists), np.int64, len(lists))
-            first[new] = len(self.ids) + np.cumsum(count[new]) - count[new]
-            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(lists), np.int32, int(count[new].sum()))))
-            self.tables[1] = _merged(self.tables[1], (keys[new], first[new], count[new].astype(np.int32)))
-            if len(self.tables[1][0]) > 100_000:
-                self.tables = [_merged(*self.tables), tuple(a[:0] for a in self.tables[1])]
-        return first, count, which
-
-
-def _merged(a: tuple, b: tuple) -> tuple:
-    both = [np.concatenate(pair) for pair in zip(a, b)]
-    order = np.argsort(both[0], kind="stable")
-    return tuple(x[order] for x in both)
+            lists = self.listed([raw[a:b].decode("utf-8") for a, b in zip(starts[example].tolist(), ends[example].tolist())])
+            count = np.fromiter(map(len, lists), np.int32, len(lists))
+            begin = self.n_ids + np.cumsum(count, dtype=np.int64) - count
+            self._append(np.fromiter(chain.from_iterable(lists), np.int32, int(count.sum(dtype=np.int64))))
+            grown = self._put(fresh, begin, count)
+            if grown:
+                at = self._found(keys)
+            else:
+                at[new] = self._found(keys[new])
+        return at
+
+    def _append(self, ids: np.ndarray) -> None:
+        need = self.n_ids + len(ids)
+        if need > len(self.ids):
+            self.ids = np.concatenate((self.ids[: self.n_ids], np.zeros(max(need, 2 * len(self.ids)) - self.n_ids, np.int32)))
+        self.ids[self.n_ids : need] = ids
+        self.n_ids = need
+
+    def _found(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, or the free one where its search ends."""
+        at = (keys >> self.shift).astype(np.int64)
+        on = np.flatnonzero((self.keys[at] != keys) & (self.count[at] >= 0))
+        while len(on):
+            at[on] = (at[on] + 1) & (len(self.keys) - 1)
+            on = on[(self.keys[at[on]] != keys[on]) & (self.count[at[on]] >= 0)]
+        return at
+
+    def _put(self, keys: np.ndarray, first: np.ndarray, count: np.ndarray) -> bool:
+        """Put distinct keys that the table doesn't hold; whether it had to grow, which moves all places."""
+        size, self.used = len(self.keys), self.used + len(keys)
+        while 2 * self.used > size:
+            size *= 2
+        grown = size > len(self.keys)
+        if grown:
+            full = self.count >= 0
+            keys, first, count = np.concatenate((self.keys[full], keys)), np.concatenate((self.first[full], first)), np.concatenate((self.count[full], count))
+            self._make(size)
+        while len(keys):
+            at = self._found(keys)
+            self.keys[at] = keys  # of keys that meet at one free place the last one stays
+            here = self.keys[at] == keys
+            self.first[at[here]], self.count[at[here]] = first[here], count[here]
+            keys, first, count = keys[~here], first[~here], count[~here]
+        return grown
 
 
 @lru_cache(maxsize=2)
